@@ -127,8 +127,17 @@ def _layout_columns(layout: int) -> dict[str, Column]:
 LAYOUTS = range(7)
 
 
+_raw_counts: dict[tuple[str, str], str] = {}
+
+
 def write_raw_counts(spark: SparkSession, sf_dir: str) -> str:
-    """All events as count files of seven layouts, two sources each; returns the folder."""
+    """All events as count files of seven layouts, two sources each; returns the folder.
+
+    Written once per application and set of tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _raw_counts:
+        return _raw_counts[key]
     root = staging_path(spark, "raw-counts")
     events = table(spark, sf_dir, "events")
     half = F.when(F.dayofmonth("ts") <= 15, F.lit("a")).otherwise(F.lit("b"))
@@ -139,6 +148,7 @@ def write_raw_counts(spark: SparkSession, sf_dir: str) -> str:
         rows.select(*columns, source).write.partitionBy("source_file").option("header", "true").csv(
             f"{root}/layout={layout}"
         )
+    _raw_counts[key] = root
     return root
 
 

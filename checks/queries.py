@@ -115,9 +115,9 @@ def json_landing_roundtrip(spark, sf_dir):
 @query
 def history_slice_replace(spark, sf_dir):
     rows = a.weather(spark, sf_dir)
-    store = tables.DayTable(spark, staging_path(spark, "slices"), WEATHER_HISTORY)
-    store.replace_days(rows)
-    store.replace_days(a.fresh_slice(rows, "2001-05-20", "2001-06-01"))
+    store = tables.PeriodTable(spark, staging_path(spark, "slices"), WEATHER_HISTORY)
+    store.write_periods(rows)
+    store.replace_days(a.fresh_slice(rows, "2001-05-20", "2001-06-01"), "2001-05-20", "2001-06-01")
     return store.read()
 
 
@@ -134,7 +134,7 @@ def history_refresh(spark, sf_dir):
 def history_refresh_range(spark, sf_dir):
     rows = a.weather(spark, sf_dir)
     complete_root = staging_path(spark, "complete-days")
-    tables.DayTable(spark, complete_root, WEATHER_HISTORY).replace_days(rows)
+    tables.PeriodTable(spark, complete_root, WEATHER_HISTORY).write_periods(rows)
     landed = a.landed(spark, a.history_docs(a.fresh_slice(rows, "2001-05-10", "2001-06-05")), "history-docs")
     return loads.load_history(
         spark, landed, staging_path(spark, "history-csv"), staging_path(spark, "history-slices"),
@@ -392,18 +392,18 @@ def quality_reconcile(spark, sf_dir):
 @query
 def train_model(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    return model.train(rows).transform(
-        rows.select([F.col(n).cast("double").alias(n) if t in ("int", "bigint") else F.col(n) for n, t in rows.dtypes])
-    ).select(*model.CATEGORIES, "bank_holiday", model.LABEL, model.PREDICTION)
+    stored = model.stage(spark, rows)
+    return model.predict(model.train(stored), stored)
 
 
 @query
 def predict(spark, sf_dir):
-    return model.predict(model.train(training_rows(spark, sf_dir)), scoring_rows(spark, sf_dir))
+    fitted = model.train(model.stage(spark, training_rows(spark, sf_dir)))
+    return model.predict(fitted, scoring_rows(spark, sf_dir))
 
 
 @query
 def model_roundtrip(spark, sf_dir):
     path = staging_path(spark, "model")
-    model.save(model.train(training_rows(spark, sf_dir)), path)
+    model.save(model.train(model.stage(spark, training_rows(spark, sf_dir))), path)
     return model.predict(model.load(path), scoring_rows(spark, sf_dir))

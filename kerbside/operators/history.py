@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside.schemas import WEATHER_HISTORY, conform
-from kerbside.sources.tables import DayTable, VersionedTable
+from kerbside.sources.tables import PeriodTable, VersionedTable
 
 KEY = ["city", "date"]
 
@@ -29,11 +29,11 @@ def refresh_table(complete: VersionedTable, latest: DataFrame) -> None:
     complete.replace(merge_slice(complete.read(), latest))
 
 
-def refresh_days(complete: DayTable, latest: DataFrame, start: dt.date | str, end: dt.date | str) -> None:
-    """The same refresh for a table kept by day, with a slice of ``start <= date < end``.
+def refresh_days(complete: PeriodTable, latest: DataFrame, start: dt.date | str, end: dt.date | str) -> None:
+    """The same refresh for a table kept by period, with a slice of ``start <= date < end``.
 
-    Hours on other days cannot match a row of the slice, so only the days of the range
-    are listed, read and written, and the table comes out as from
+    Hours outside the range cannot match a row of the slice, so only the periods it
+    touches are listed, read and written, and the table comes out as from
     :func:`refresh_table`. Any number of days is one job.
     """
-    complete.replace_days(merge_slice(complete.read_days(start, end), in_range(latest, start, end)))
+    complete.write_periods(merge_slice(complete.read_periods(start, end), in_range(latest, start, end)))

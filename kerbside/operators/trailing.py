@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES = ["city", "footfall_location"]
-SPAN_DAYS = 366
+SPAN_DAYS = 731
 
 HOUR_ROWS = 24
 SAME_HOUR_ROWS = 90
@@ -35,23 +35,20 @@ def _back_copies(spans: DataFrame) -> DataFrame:
     hour_in_span = Window.partitionBy(*SERIES, "span", "hour").orderBy(F.desc("timestamp"), F.desc("total_footfall"))
     tails = spans.withColumn("_back", F.row_number().over(hour_in_span)).filter(F.col("_back") <= SAME_HOUR_ROWS)
 
-    def last_span(rows: int, *keys: str) -> Column:
-        whole = Window.partitionBy(*keys)
-        return F.coalesce(
-            F.lead("span", rows).over(whole.orderBy("timestamp", "total_footfall")),
-            F.max("span").over(whole),
-        )
-
-    reach = F.greatest(last_span(HOUR_ROWS, *SERIES), last_span(SAME_HOUR_ROWS, *SERIES, "hour"))
-    later = F.filter("_spans", lambda s: (s > F.col("span")) & (s <= F.col("_reach")))
-    return (
-        tails.withColumn("_spans", F.collect_set("span").over(Window.partitionBy(*SERIES)))
-        .withColumn("_reach", reach)
-        .filter(F.col("_reach") > F.col("span"))
-        .withColumn("span", F.explode(later))
-        .select(spans.columns)
-        .repartition(*SERIES, "span")
-    )
+    series = Window.partitionBy(*SERIES).orderBy("timestamp", "total_footfall")
+    same_hour = Window.partitionBy(*SERIES, "hour").orderBy("timestamp", "total_footfall")
+    everything = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tails = tails.withColumns(
+        {
+            "_spans": F.collect_set("span").over(everything),
+            "_reach_day": F.lead("span", HOUR_ROWS).over(series),
+        }
+    ).withColumn("_reach_hour", F.lead("span", SAME_HOUR_ROWS).over(same_hour))
+    # a row with less than a full frame ahead of it is needed to the end of its series
+    last = F.array_max("_spans")
+    reach = F.greatest(F.coalesce("_reach_day", last), F.coalesce("_reach_hour", last))
+    later = F.filter("_spans", lambda s: (s > F.col("span")) & (s <= reach))
+    return tails.withColumn("span", F.explode(later)).select(spans.columns).repartition(*SERIES, "span")
 
 
 def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
@@ -64,7 +61,7 @@ def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> Dat
 
     Also keeps ``span``; the result is partitioned by city, location and span, so an
     aggregate whose keys include those needs no further shuffle. At hourly grain a
-    span of 366 days has at most 8,784 distinct timestamps; for finer timestamps
+    span of 731 days has at most 17,544 distinct timestamps; for finer timestamps
     choose a shorter span.
     """
     spans = (
@@ -103,8 +100,7 @@ def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> Dat
 
     return (
         framed.withColumn("footfall_90_day_average", F.coalesce(mean, F.col("total_footfall").cast("double")))
-        .withColumn("snow_24_hour_total", total("snow"))
-        .withColumn("rain_24_hour_total", total("rain"))
+        .withColumns({f"{name}_24_hour_total": total(name) for name in ["snow", "rain"]})
         .withColumn("copies", F.count(F.lit(1)).over(Window.partitionBy(*SERIES, "span", "timestamp")))
         .filter(~F.col("_copy"))
         .drop("_copy", "_sum", "_rows")

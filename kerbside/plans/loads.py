@@ -14,7 +14,7 @@ from kerbside.sources.csv_layouts import read_layouts
 from kerbside.sources.json_docs import flatten_forecast, flatten_history, flatten_holidays
 from kerbside.sources.tables import (
     CSV_OPTIONS,
-    DayTable,
+    PeriodTable,
     land_counts,
     read_json_runs,
     read_table,
@@ -87,12 +87,13 @@ def load_history(
     start: dt.date | str,
     end: dt.date | str,
     zone: str = "UTC",
+    unit: str = "month",
 ) -> DataFrame:
     """Load the days ``start <= day < end`` and refresh the complete history with them, in one run."""
     rows = in_range(flatten_history(read_json_runs(spark, landed), zone), start, end)
     write_csv_run(rows, processed_root, run_ts)
-    slices = DayTable(spark, slices_root, WEATHER_HISTORY)
-    slices.replace_days(rows)
-    complete = DayTable(spark, complete_root, WEATHER_HISTORY)
-    refresh_days(complete, slices.read_days(start, end), start, end)
+    slices = PeriodTable(spark, slices_root, WEATHER_HISTORY, unit)
+    slices.replace_days(rows, start, end)
+    complete = PeriodTable(spark, complete_root, WEATHER_HISTORY, unit)
+    refresh_days(complete, in_range(slices.read_periods(start, end), start, end), start, end)
     return complete.read()

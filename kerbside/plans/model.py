@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions.numeric import round_half_up
+from kerbside.session import staging_path
 
 LABEL = "total_footfall"
 CATEGORIES = ["city", "footfall_location", "weekday", "month"]
@@ -23,6 +24,13 @@ def _category_sizes(rows: DataFrame) -> dict[str, int]:
     return rows.agg(*counts).first().asDict()
 
 
+def stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Store the training rows once; fitting passes over them many times."""
+    path = staging_path(spark, "training-rows")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def train(
     rows: DataFrame,
     num_trees: int = 20,

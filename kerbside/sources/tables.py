@@ -9,8 +9,8 @@ from __future__ import annotations
 import datetime as dt
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from kerbside.schemas import conform
 
@@ -71,48 +71,60 @@ class VersionedTable:
             filesystem.delete(path_class(f"{self.root}/{name}"), True)
 
 
-def _with_day(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField("dt", DateType())])
+class PeriodTable:
+    """A table with a ``date`` column kept in one folder per month, or other ``unit`` of ``date_trunc``.
 
+    Days are replaced one by one whatever the unit; it only sets how much is rewritten
+    around them. Small hourly tables do well with months, large ones with days.
+    """
 
-class DayTable:
-    """A table in one partition per day of its ``date`` column."""
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, unit: str = "month"):
+        self.spark, self.root, self.schema, self.unit = spark, root, schema, unit
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType):
-        self.spark, self.root, self.schema = spark, root, schema
+    def _period(self, moment: Column) -> Column:
+        return F.to_date(F.date_trunc(self.unit, moment))
 
-    def exists(self) -> bool:
+    def _folders(self) -> list[str]:
         filesystem, root = _filesystem(self.spark, self.root)
-        return filesystem.exists(root)
+        if not filesystem.exists(root):
+            return []
+        names = [s.getPath().getName() for s in filesystem.listStatus(root)]
+        return sorted(n for n in names if n.startswith("period="))
 
-    def read(self) -> DataFrame:
-        if not self.exists():
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(_with_day(self.schema)).parquet(self.root).drop("dt")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{n}" for n in folders])
 
-    def read_days(self, start: dt.date | str, end: dt.date | str) -> DataFrame:
-        """Rows of the days ``start <= day < end``; no other day's files are even listed."""
-        filesystem, root = _filesystem(self.spark, self.root)
-        names = []
-        if filesystem.exists(root):
-            names = [s.getPath().getName() for s in filesystem.listStatus(root)]
-        low, high = f"dt={start}", f"dt={end}"
-        paths = [f"{self.root}/{n}" for n in sorted(names) if n.startswith("dt=") and low <= n < high]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def read(self) -> DataFrame:
+        return self._read(self._folders())
 
-    def replace_days(self, df: DataFrame) -> None:
-        """Replace the days found in ``df``; other days stay as they are."""
-        days = conform(df, self.schema).withColumn("dt", F.to_date("date"))
+    def read_periods(self, start: dt.date | str, end: dt.date | str) -> DataFrame:
+        """All rows of the periods that ``start <= day < end`` touches; other folders are not even listed."""
+        bounds = self.spark.range(1).select(
+            self._period(F.lit(str(start)).cast("timestamp")).cast("string"), F.lit(str(end))
+        )
+        low, high = bounds.first()
+        return self._read([n for n in self._folders() if f"period={low}" <= n < f"period={high}"])
+
+    def write_periods(self, df: DataFrame) -> None:
+        """Write ``df`` as the whole content of the periods it has rows of."""
+        rows = conform(df, self.schema).withColumn("period", self._period(F.col("date")))
         (
-            days.hint("rebalance", F.col("dt"))
+            rows.hint("rebalance", F.col("period"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt")
+            .partitionBy("period")
             .parquet(self.root)
         )
 
+    def replace_days(self, df: DataFrame, start: dt.date | str, end: dt.date | str) -> None:
+        """Replace each day that ``df`` has rows of, all within ``start <= date < end``."""
+        day = F.to_date("date").alias("_day")
+        days = df.select(day).distinct()
+        kept = self.read_periods(start, end).withColumn("_day", F.to_date("date")).join(days, "_day", "left_anti")
+        self.write_periods(conform(df, self.schema).union(kept.select(self.schema.names)))
+
 
 def write_csv_by_source(df: DataFrame, root: str) -> None:
     """CSV with a header, one folder per ``source_file``."""
