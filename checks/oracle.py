@@ -35,7 +35,7 @@ _HOLIDAYS = """holidays AS (
   SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS name
   FROM orders WHERE o_totalprice > 490000)"""
 
-_ROLLING = """hourly AS (
+ROLLING = """hourly AS (
   SELECT f.*, w.* EXCLUDE (city, date) FROM footfall f JOIN weather w ON f."timestamp" = w.date AND f.city = w.city),
 rolling AS (
   SELECT *,
@@ -66,6 +66,23 @@ _VIEW_FROM = """FROM footfall f
   LEFT JOIN holidays h ON CAST(f."timestamp" AS DATE) = h.date
   JOIN weather w ON f."timestamp" = w.date AND f.city = w.city"""
 
+# The two views over tables footfall, weather and holidays, with the self-join spelled out.
+REPORTING = f"""SELECT f.city,
+  f.footfall_location, CAST(f."timestamp" AS DATE) AS date, year(f."timestamp") AS year,
+  month(f."timestamp") AS month, CAST(strftime(f."timestamp", '%U') AS BIGINT) AS week, h.name AS bank_holiday,
+  CAST(sum(f.total_footfall) AS BIGINT) AS total_footfall,
+  {_round("sum(r.footfall_90_day_average)")} AS rolling_footfall,
+  {", ".join(f"{_round(f'avg({v})', 2)} AS {n}" for n, v in _MEANS.items())}
+{_VIEW_FROM} GROUP BY ALL"""
+TRAINING = f"""SELECT f.city, f.footfall_location,
+  strftime(f."timestamp", '%A') AS weekday, strftime(f."timestamp", '%b') AS month,
+  CASE WHEN h.name IS NOT NULL THEN 1 ELSE 0 END AS bank_holiday,
+  CAST(sum(f.total_footfall) AS BIGINT) AS total_footfall,
+  {_round("sum(r.footfall_90_day_average)")} AS rolling_footfall,
+  {", ".join(f"avg({v}) AS {n}" for n, v in _MEANS.items())}
+{_VIEW_FROM}
+WHERE f."timestamp" NOT BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-12-31' GROUP BY ALL"""
+
 # ---- raw count files, as the events they were made of ---------------------------
 
 _EVENT_COUNT = "CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)"
@@ -182,31 +199,18 @@ WHERE source_file <> 'counts-3b.csv'""",
   CAST(epoch_ms(o_orderkey * 7200000) AS DATE) AS epoch_day FROM orders""",
     "hourly_weather_join": _with(_FOOTFALL, _WEATHER) + """SELECT f.*, w.* EXCLUDE (city, date)
 FROM footfall f JOIN weather w ON f."timestamp" = w.date AND f.city = w.city""",
-    "rolling_selfjoin": _with(_FOOTFALL, _WEATHER, _ROLLING) + """SELECT f.*, r.footfall_90_day_average,
+    "rolling_selfjoin": _with(_FOOTFALL, _WEATHER, ROLLING) + """SELECT f.*, r.footfall_90_day_average,
   r.snow_24_hour_total, r.rain_24_hour_total
 FROM footfall f LEFT JOIN rolling r
   ON f.city = r.city AND f.footfall_location = r.footfall_location AND f."timestamp" = r."timestamp\"""",
     "holiday_join": _with(_FOOTFALL, _HOLIDAYS) + """SELECT f.*, CAST(f."timestamp" AS DATE) AS date,
   h.name AS holiday_name FROM footfall f LEFT JOIN holidays h ON CAST(f."timestamp" AS DATE) = h.date""",
-    "rolling_same_hour_avg": _with(_FOOTFALL, _WEATHER, _ROLLING) + """SELECT city, footfall_location, "timestamp",
+    "rolling_same_hour_avg": _with(_FOOTFALL, _WEATHER, ROLLING) + """SELECT city, footfall_location, "timestamp",
   total_footfall, footfall_90_day_average FROM rolling""",
-    "rolling_weather_24": _with(_FOOTFALL, _WEATHER, _ROLLING) + """SELECT city, footfall_location, "timestamp",
+    "rolling_weather_24": _with(_FOOTFALL, _WEATHER, ROLLING) + """SELECT city, footfall_location, "timestamp",
   snow_24_hour_total, rain_24_hour_total FROM rolling""",
-    "footfall_complete_weather": _with(_FOOTFALL, _WEATHER, _HOLIDAYS, _ROLLING) + f"""SELECT f.city,
-  f.footfall_location, CAST(f."timestamp" AS DATE) AS date, year(f."timestamp") AS year,
-  month(f."timestamp") AS month, CAST(strftime(f."timestamp", '%U') AS BIGINT) AS week, h.name AS bank_holiday,
-  CAST(sum(f.total_footfall) AS BIGINT) AS total_footfall,
-  {_round("sum(r.footfall_90_day_average)")} AS rolling_footfall,
-  {", ".join(f"{_round(f'avg({v})', 2)} AS {n}" for n, v in _MEANS.items())}
-{_VIEW_FROM} GROUP BY ALL""",
-    "model_input_daily": _with(_FOOTFALL, _WEATHER, _HOLIDAYS, _ROLLING) + f"""SELECT f.city, f.footfall_location,
-  strftime(f."timestamp", '%A') AS weekday, strftime(f."timestamp", '%b') AS month,
-  CASE WHEN h.name IS NOT NULL THEN 1 ELSE 0 END AS bank_holiday,
-  CAST(sum(f.total_footfall) AS BIGINT) AS total_footfall,
-  {_round("sum(r.footfall_90_day_average)")} AS rolling_footfall,
-  {", ".join(f"avg({v}) AS {n}" for n, v in _MEANS.items())}
-{_VIEW_FROM}
-WHERE f."timestamp" NOT BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-12-31' GROUP BY ALL""",
+    "footfall_complete_weather": _with(_FOOTFALL, _WEATHER, _HOLIDAYS, ROLLING) + REPORTING,
+    "model_input_daily": _with(_FOOTFALL, _WEATHER, _HOLIDAYS, ROLLING) + TRAINING,
     "daily_totals": _with(_FOOTFALL) + """SELECT city, footfall_location, CAST("timestamp" AS DATE) AS date,
   CAST(sum(total_footfall) AS BIGINT) AS total_footfall FROM footfall GROUP BY ALL""",
 }

@@ -21,14 +21,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _zoneless(df: DataFrame) -> DataFrame:
+def zoneless(df: DataFrame) -> DataFrame:
     """Timestamps without zone, the type the SQL check has for them."""
     return df.select([F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
 
 
 def query(make: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _zoneless(make(configure(spark), sf_dir))
+        return zoneless(make(configure(spark), sf_dir))
 
     QUERIES[make.__name__] = run
     return run

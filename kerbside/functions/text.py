@@ -13,6 +13,8 @@ MISSING_TEXTS = [
 # One or two digits, then a dot, a colon or the end of the text.
 HOUR_PATTERN = r"^([0-9]{1,2})([.:]|$)"
 
+# A day and month with one kind of separator, then a two-digit year.
+_TWO_DIGIT_YEAR = r"^(\d{1,2}([/-])(?:\d{1,2}|[A-Za-z]{3})\2)(YEARS)(?!\d)"
 _CLOCK = "[ H:mm[:ss]]"
 _CLOCK_SHAPE = r"( \d{1,2}:\d{2}(:\d{2})?)?$"
 
@@ -58,28 +60,24 @@ def parse_moment(value: Column, dayfirst: bool = True, on_error: str = "fail") -
     Two-digit years from 69 on belong to the 1900s.
     """
     text = F.trim(value.cast("string"))
+    full = F.regexp_replace(text, _TWO_DIGIT_YEAR.replace("YEARS", r"69|[7-9]\d"), "$119$3")
+    full = F.regexp_replace(full, _TWO_DIGIT_YEAR.replace("YEARS", r"\d\d"), "$120$3")
 
-    def numeric(sep: str, year: str) -> Column:
-        orders = [f"d{sep}M{sep}{year}", f"M{sep}d{sep}{year}"]
-        if not dayfirst:
-            orders.reverse()
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p + _CLOCK)) for p in orders])
+    def parse(pattern: str) -> Column:
+        return F.try_to_timestamp(full, F.lit(pattern + _CLOCK))
 
-    def pivot(moment: Column) -> Column:
-        return F.when(F.year(moment) >= 2069, moment - F.expr("interval 100 years")).otherwise(moment)
+    def numeric(sep: str) -> Column:
+        orders = [f"d{sep}M{sep}yyyy", f"M{sep}d{sep}yyyy"]
+        return F.coalesce(*map(parse, orders if dayfirst else reversed(orders)))
 
     def shaped(pattern: str) -> Column:
-        return text.rlike(pattern + _CLOCK_SHAPE)
+        return full.rlike(pattern + _CLOCK_SHAPE)
 
     parsed = (
-        F.when(shaped(r"^\d{1,2}/\d{1,2}/\d{2}"), pivot(numeric("/", "yy")))
-        .when(shaped(r"^\d{1,2}/\d{1,2}/\d{4}"), numeric("/", "yyyy"))
-        .when(shaped(r"^\d{1,2}-[A-Za-z]{3}-\d{2}"),
-              pivot(F.try_to_timestamp(text, F.lit("d-MMM-yy" + _CLOCK))))
-        .when(shaped(r"^\d{1,2}-[A-Za-z]{3}-\d{4}"),
-              F.try_to_timestamp(text, F.lit("d-MMM-yyyy" + _CLOCK)))
-        .when(shaped(r"^\d{1,2}-\d{1,2}-\d{4}"), numeric("-", "yyyy"))
-        .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp"))
+        F.when(shaped(r"^\d{1,2}/\d{1,2}/\d{4}"), numeric("/"))
+        .when(shaped(r"^\d{1,2}-[A-Za-z]{3}-\d{4}"), parse("d-MMM-yyyy"))
+        .when(full.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), full.try_cast("timestamp"))
+        .when(shaped(r"^\d{1,2}-\d{1,2}-\d{4}"), numeric("-"))
     )
     return _or_fail(text, parsed, "date", on_error)
 

@@ -54,13 +54,16 @@ def clean_leeds(
     df = _with_keys(raw, counts, locations)
     hour = hour_number(F.col("Hour"), lenient)
     moment = parse_moment(F.col("Date"), dayfirst, lenient)
+    # the copies made above are null with their sources, and a timestamp is null only
+    # with its date, so the nulls can go before any text is parsed
     df = (
-        df.filter(F.col("Hour").isNotNull())
+        df.na.drop("any")
         .withColumn("timestamp", at_hour(moment, hour))
         .withColumn("city", F.lit(city))
-        .na.drop("any")
+        .withColumn("total_footfall", whole_count(F.col("total_footfall")))
     )
-    df = df.withColumn("total_footfall", whole_count(F.col("total_footfall")))
+    if lenient == "null":
+        df = df.filter(F.col("timestamp").isNotNull())
     return df.select(*[f.name for f in FOOTFALL], *keep)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -61,7 +61,10 @@ def train(
                 handleInvalid="keep",
             )
         )
-        features += encoded
+        # an expression drops the category metadata that the encoder passes on
+        values = ", ".join(f"{c} + 0.0D AS {c}_value" for c in encoded)
+        stages.append(SQLTransformer(statement=f"SELECT *, {values} FROM __THIS__"))
+        features += [f"{c}_value" for c in encoded]
     filled = [f"{c}_filled" for c in numbers]
     stages.append(Imputer(inputCols=numbers, outputCols=filled))
     stages.append(VectorAssembler(inputCols=features + filled, outputCol="features"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
@@ -29,11 +29,11 @@ def source_name(path: Column) -> Column:
 
 def _first_line(path: str) -> str:
     """First line of a file; reads no further than the line end."""
-    parsed = urlparse(path)
-    if parsed.scheme in ("", "file"):
-        filesystem, inner = fs.LocalFileSystem(), unquote(parsed.path)
+    if path.startswith("file:"):
+        filesystem, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     else:
-        filesystem, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        uri = quote(path.replace("s3a://", "s3://", 1), safe=":/@")
+        filesystem, inner = fs.FileSystem.from_uri(uri)
     head = b""
     with filesystem.open_input_stream(inner) as stream:
         while b"\n" not in head:
@@ -106,7 +106,9 @@ def read_layout(spark: SparkSession, layout: Layout) -> DataFrame:
     """Rows of one layout, all columns as text, plus ``source_file``."""
     schema = StructType([StructField(name, StringType()) for name in layout.header])
     rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(list(layout.paths))
-    return rows.select("*", source_name(F.col("_metadata.file_path")).alias("source_file"))
+    # the metadata path is percent-encoded, except that a plus stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return rows.select("*", source_name(path).alias("source_file"))
 
 
 def read_layouts(spark: SparkSession, root: str, exclude: Sequence[str] = ()) -> list[DataFrame]:
