@@ -6,6 +6,7 @@ Measures are whole numbers, so sums do not depend on the order of addition.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from kerbside.schemas import FOOTFALL, FORECASTS, HOLIDAYS, WEATHER_HISTORY, conform
 from kerbside.session import staging_path
@@ -17,8 +18,15 @@ EXCLUDE_FROM, EXCLUDE_TO = "1997-01-01", "1998-12-31"
 HOLIDAY_PRICE = 490000
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is inferred once, then declared."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _line_hour() -> Column:
@@ -60,6 +68,7 @@ def _weather_measures(nullable: bool) -> list[Column]:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly weather; a quarter of the suppliers report none, so some counted hours have no weather."""
     rows = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_suppkey") % 4 != 0)

@@ -165,3 +165,26 @@ def test_view_plan(spark, world):
              if "Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
     # the rows, and the copies that spans reach back to
     assert sum("span#" in keys for keys in moved) == 2
+
+
+def test_one_hot_series_is_spread_over_tasks(spark):
+    """A location with most of all rows: its windows run as many groups, none of them large."""
+    moments = spark.range(6 * 365 * 24).select(
+        F.lit("A").alias("city"),
+        F.lit("hot").alias("footfall_location"),
+        (F.lit("2015-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("timestamp"),
+        (F.col("id") % 97).alias("total_footfall"),
+    )
+    hourly = moments.withColumns({m: F.lit(1.0) for m in joins.WEATHER_MEASURES})
+    out = with_trailing_features(hourly, span_days=60)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # so little data would run as one task
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset(key)
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
+    assert out.groupBy("span").count().agg(F.max("count")).first()[0] <= 60 * 24
+    last = out.orderBy(F.desc("timestamp")).first()
+    assert last.rain_24_hour_total == 24.0
+    assert last.footfall_90_day_average == sum((6 * 365 * 24 - 1 - 24 * k) % 97 for k in range(1, 91)) / 90
