@@ -5,6 +5,8 @@ Measures are whole numbers, so sums do not depend on the order of addition.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -150,13 +152,17 @@ def write_raw_counts(spark: SparkSession, sf_dir: str) -> str:
     root = staging_path(spark, "raw-counts")
     events = table(spark, sf_dir, "events")
     half = F.when(F.dayofmonth("ts") <= 15, F.lit("a")).otherwise(F.lit("b"))
-    for layout in LAYOUTS:
+
+    def write(layout: int) -> None:
         rows = events.filter(F.col("event_id") % 7 == layout)
         source = F.concat(F.lit(f"counts-{layout}"), half, F.lit(".csv")).alias("source_file")
         columns = [c.alias(n) for n, c in _layout_columns(layout).items()]
         rows.select(*columns, source).write.partitionBy("source_file").option("header", "true").csv(
             f"{root}/layout={layout}"
         )
+
+    with ThreadPoolExecutor(len(LAYOUTS)) as pool:
+        list(pool.map(write, LAYOUTS))
     _raw_counts[key] = root
     return root
 

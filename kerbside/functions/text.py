@@ -19,9 +19,11 @@ _CLOCK = "[ H:mm[:ss]]"
 _CLOCK_SHAPE = r"( \d{1,2}:\d{2}(:\d{2})?)?$"
 
 
-def blank_to_null(value: Column) -> Column:
-    """Null where the text stands for a missing value."""
-    return F.when(~value.isin(MISSING_TEXTS), value)
+def blank_to_null(name: str) -> Column:
+    """Column ``name``, null where its text stands for a missing value."""
+    column = "`" + name.replace("`", "``") + "`"
+    texts = ", ".join(f"'{t}'" for t in MISSING_TEXTS)
+    return F.expr(f"CASE WHEN {column} NOT IN ({texts}) THEN {column} END").alias(name)
 
 
 def _or_fail(source: Column, parsed: Column, what: str, on_error: str) -> Column:

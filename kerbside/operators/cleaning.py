@@ -18,9 +18,7 @@ LOCATION_COLUMNS = ["LocationName", "Location"]
 
 def read_missing_as_null(df: DataFrame) -> DataFrame:
     """Null out the texts that stand for a missing value, in every string column."""
-    return df.select(
-        [blank_to_null(F.col(f"`{n}`")).alias(n) if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
-    )
+    return df.select([blank_to_null(n) if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes])
 
 
 def _with_keys(raw: DataFrame, counts: Sequence[str], locations: Sequence[str]) -> DataFrame:

@@ -57,7 +57,7 @@ def test_bad_dates(spark):
 
 
 def test_missing_texts(spark):
-    assert column(spark, ["NA", "", "null", "0", "nan"], text.blank_to_null) == [None, None, None, "0", None]
+    assert column(spark, ["NA", "", "null", "0", "nan"], lambda c: text.blank_to_null("v")) == [None, None, None, "0", None]
 
 
 def test_calendar(spark):
