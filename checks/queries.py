@@ -192,7 +192,7 @@ def leeds_load(spark, sf_dir):
 def york_load(spark, sf_dir):
     return loads.load_york(
         spark, a.write_raw_york(spark, sf_dir), staging_path(spark, "york-raw"),
-        staging_path(spark, "york-processed"), staging_path(spark, "york"), "2024-02-01 00-00-00",
+        staging_path(spark, "york-processed"), staging_path(spark, "york"),
     )
 
 

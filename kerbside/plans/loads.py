@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.operators.cleaning import clean_leeds, clean_york, union_cleaned
 from kerbside.operators.history import in_range, refresh_days
@@ -23,6 +24,19 @@ from kerbside.sources.tables import (
 )
 
 
+def _keep_and_store(
+    spark: SparkSession, by_source: DataFrame, raw_root: str, processed_root: str, table_path: str, distinct: bool
+) -> DataFrame:
+    """Keep cleaned rows as files by source, then make the table from those files.
+
+    The raw text is cleaned once; the table comes from what that left.
+    """
+    land_counts(by_source, raw_root, processed_root, raw=False)
+    kept = spark.read.schema(by_source.schema).options(**CSV_OPTIONS).csv(processed_root).select(FOOTFALL.names)
+    write_table(union_cleaned([kept]) if distinct else kept, table_path, FOOTFALL)
+    return read_table(spark, table_path, FOOTFALL)
+
+
 def load_leeds(
     spark: SparkSession,
     raw_root: str,
@@ -37,26 +51,24 @@ def load_leeds(
         clean_leeds(raw, dayfirst=dayfirst, on_error=on_error, keep=["source_file"])
         for raw in read_layouts(spark, raw_root, exclude)
     ]
-    by_source = cleaned[0]
-    for more in cleaned[1:]:
-        by_source = by_source.unionByName(more)
-    land_counts(by_source, raw_root, processed_root, raw=False)
-    # the table is made from the files just kept, not by cleaning the raw text again
-    kept = spark.read.schema(by_source.schema).options(**CSV_OPTIONS).csv(processed_root)
-    write_table(union_cleaned([kept.select(FOOTFALL.names)]), table_path, FOOTFALL)
-    return read_table(spark, table_path, FOOTFALL)
+    by_source = reduce(DataFrame.unionByName, cleaned)
+    return _keep_and_store(spark, by_source, raw_root, processed_root, table_path, distinct=True)
 
 
 def load_york(
-    spark: SparkSession, raw_path: str, raw_root: str, processed_root: str, table_path: str, run_name: str
+    spark: SparkSession,
+    raw_path: str,
+    raw_root: str,
+    processed_root: str,
+    table_path: str,
+    source_file: str = "york_footfall_data.csv",
 ) -> DataFrame:
     """Keep the raw file, clean it, keep the cleaned file, store the table."""
     raw = spark.read.options(**CSV_OPTIONS).csv(raw_path)
-    write_csv_run(raw, raw_root, run_name)
-    cleaned = clean_york(raw)
-    write_csv_run(cleaned, processed_root, run_name)
-    write_table(cleaned, table_path, FOOTFALL)
-    return read_table(spark, table_path, FOOTFALL)
+    name = F.lit(source_file)
+    land_counts(raw.withColumn("source_file", name), raw_root, processed_root, raw=True)
+    cleaned = clean_york(raw).withColumn("source_file", name)
+    return _keep_and_store(spark, cleaned, raw_root, processed_root, table_path, distinct=False)
 
 
 def load_forecast(

@@ -188,3 +188,18 @@ def test_one_hot_series_is_spread_over_tasks(spark):
     last = out.orderBy(F.desc("timestamp")).first()
     assert last.rain_24_hour_total == 24.0
     assert last.footfall_90_day_average == sum((6 * 365 * 24 - 1 - 24 * k) % 97 for k in range(1, 91)) / 90
+
+
+def test_view_without_any_broadcast(spark, world):
+    """As when no side is small: joins sort and merge, the result is the same."""
+    footfall, weather, holidays, con = world
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        view = reporting.footfall_complete_weather(*by_city(footfall), weather, holidays, 40)
+        assert differences(view, con, f"WITH {ROLLING} {oracle.REPORTING}") == []
+        plan = plan_of(view)
+    finally:
+        spark.conf.set(key, before)
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan and "CartesianProduct" not in plan
