@@ -100,10 +100,8 @@ def csv_sink_roundtrip(spark, sf_dir):
     raw = tables.land_counts(by_source, staging_path(spark, "raw"), staging_path(spark, "processed"), raw=True)
     run = tables.write_csv_run(rows, staging_path(spark, "runs"), "2001-06-01 00-00-00")
 
-    def read(path, schema):
-        return spark.read.schema(schema).options(**tables.CSV_OPTIONS).csv(path)
-
-    return read(raw, by_source.schema).union(read(run, rows.schema).withColumn("source_file", F.lit("run")))
+    by_run = tables.read_csv(spark, run, rows.schema).withColumn("source_file", F.lit("run"))
+    return tables.read_csv(spark, raw, by_source.schema).union(by_run)
 
 
 @query

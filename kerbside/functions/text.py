@@ -19,9 +19,14 @@ _CLOCK = "[ H:mm[:ss]]"
 _CLOCK_SHAPE = r"( \d{1,2}:\d{2}(:\d{2})?)?$"
 
 
+def quoted(name: str) -> str:
+    """Column name for use in an expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def blank_to_null(name: str) -> Column:
     """Column ``name``, null where its text stands for a missing value."""
-    column = "`" + name.replace("`", "``") + "`"
+    column = quoted(name)
     texts = ", ".join(f"'{t}'" for t in MISSING_TEXTS)
     return F.expr(f"CASE WHEN {column} NOT IN ({texts}) THEN {column} END").alias(name)
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions.text import at_hour, blank_to_null, hour_number, parse_moment
-from kerbside.operators.columns import drop_nameless, with_preferred
+from kerbside.operators.columns import drop_nameless, drop_rows_with_null, with_preferred
 from kerbside.schemas import FOOTFALL, conform
 
 # Names of the count and location columns, best first.
@@ -55,7 +55,7 @@ def clean_leeds(
     # the copies made above are null with their sources, and a timestamp is null only
     # with its date, so the nulls can go before any text is parsed
     df = (
-        df.na.drop("any")
+        drop_rows_with_null(df)
         .withColumn("timestamp", at_hour(moment, hour))
         .withColumn("city", F.lit(city))
         .withColumn("total_footfall", whole_count(F.col("total_footfall")))

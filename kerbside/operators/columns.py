@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from kerbside.functions.text import quoted
+
 
 def drop_nameless(df: DataFrame) -> DataFrame:
     """Drop columns that had no header: ``Unnamed: 3`` and Spark's own ``_c3``."""
@@ -25,3 +27,8 @@ def preferred_name(columns: Sequence[str], preferences: Sequence[str]) -> str:
 def with_preferred(df: DataFrame, preferences: Sequence[str], new_name: str) -> DataFrame:
     """Copy the first existing preferred column to ``new_name``."""
     return df.withColumn(new_name, F.col(f"`{preferred_name(df.columns, preferences)}`"))
+
+
+def drop_rows_with_null(df: DataFrame) -> DataFrame:
+    """Rows with a value in every column; names may hold dots, as repeated CSV headers do."""
+    return df.filter(" AND ".join(f"{quoted(c)} IS NOT NULL" for c in df.columns))

@@ -1,4 +1,8 @@
-"""The load jobs, from landed raw files to typed tables."""
+"""The load jobs, from landed raw files to typed tables.
+
+Each flattens or cleans its raw text once, into the CSV files it keeps, and makes
+its tables from those.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +21,7 @@ from kerbside.sources.tables import (
     CSV_OPTIONS,
     PeriodTable,
     land_counts,
+    read_csv,
     read_json_runs,
     read_table,
     write_csv_run,
@@ -27,12 +32,9 @@ from kerbside.sources.tables import (
 def _keep_and_store(
     spark: SparkSession, by_source: DataFrame, raw_root: str, processed_root: str, table_path: str, distinct: bool
 ) -> DataFrame:
-    """Keep cleaned rows as files by source, then make the table from those files.
-
-    The raw text is cleaned once; the table comes from what that left.
-    """
+    """Keep cleaned rows as files by source, then make the table from those files."""
     land_counts(by_source, raw_root, processed_root, raw=False)
-    kept = spark.read.schema(by_source.schema).options(**CSV_OPTIONS).csv(processed_root).select(FOOTFALL.names)
+    kept = read_csv(spark, processed_root, by_source.schema).select(FOOTFALL.names)
     write_table(union_cleaned([kept]) if distinct else kept, table_path, FOOTFALL)
     return read_table(spark, table_path, FOOTFALL)
 
@@ -75,8 +77,8 @@ def load_forecast(
     spark: SparkSession, landed: str, processed_root: str, table_path: str, run_ts: str, zone: str = "UTC"
 ) -> DataFrame:
     rows = flatten_forecast(read_json_runs(spark, landed), zone)
-    write_csv_run(rows, processed_root, run_ts)
-    write_table(rows, table_path, FORECASTS)
+    kept = read_csv(spark, write_csv_run(rows, processed_root, run_ts), FORECASTS)
+    write_table(kept, table_path, FORECASTS)
     return read_table(spark, table_path, FORECASTS)
 
 
@@ -84,8 +86,8 @@ def load_holidays(
     spark: SparkSession, landed: str, processed_root: str, table_path: str, run_ts: str
 ) -> DataFrame:
     rows = flatten_holidays(read_json_runs(spark, landed))
-    write_csv_run(rows, processed_root, run_ts)
-    write_table(rows, table_path, HOLIDAYS)
+    kept = read_csv(spark, write_csv_run(rows, processed_root, run_ts), HOLIDAYS)
+    write_table(kept, table_path, HOLIDAYS)
     return read_table(spark, table_path, HOLIDAYS)
 
 
@@ -103,9 +105,9 @@ def load_history(
 ) -> DataFrame:
     """Load the days ``start <= day < end`` and refresh the complete history with them, in one run."""
     rows = in_range(flatten_history(read_json_runs(spark, landed), zone), start, end)
-    write_csv_run(rows, processed_root, run_ts)
+    kept = read_csv(spark, write_csv_run(rows, processed_root, run_ts), WEATHER_HISTORY)
     slices = PeriodTable(spark, slices_root, WEATHER_HISTORY, unit)
-    slices.replace_days(rows, start, end)
+    slices.replace_days(kept, start, end)
     complete = PeriodTable(spark, complete_root, WEATHER_HISTORY, unit)
     refresh_days(complete, in_range(slices.read_periods(start, end), start, end), start, end)
     return complete.read()

@@ -7,6 +7,7 @@ grouped by their ordered header and each group is read with its own schema.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -102,10 +103,15 @@ def layouts(headers: DataFrame) -> list[Layout]:
     return [Layout(h, tuple(sorted(p))) for h, p in sorted(groups.items())]
 
 
+def _as_literal(path: str) -> str:
+    """A path whose brackets, stars and the like are not taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def read_layout(spark: SparkSession, layout: Layout) -> DataFrame:
     """Rows of one layout, all columns as text, plus ``source_file``."""
     schema = StructType([StructField(name, StringType()) for name in layout.header])
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(list(layout.paths))
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv([_as_literal(p) for p in layout.paths])
     # the metadata path is percent-encoded, except that a plus stands for itself
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return rows.select("*", source_name(path).alias("source_file"))

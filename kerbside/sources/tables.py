@@ -151,6 +151,11 @@ def write_csv_run(df: DataFrame, root: str, run_ts: str) -> str:
     return path
 
 
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows written by the CSV sinks, in their declared types."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+
+
 def land_json_run(docs: DataFrame, root: str, run_ts: str) -> str:
     """Raw responses of one run as JSON lines, under its own ``run_ts=`` folder.
 

@@ -14,7 +14,7 @@ from kerbside.sources import catalogue, csv_layouts
 FILES = {
     "a.csv": "LocationName,Date,Hour,TotalCount,,\nBriggate,02-Mar-23,1,10,,\nBriggate,02-Mar-23,2,11,,\n",
     "b b.csv": "LocationName,Date,Hour,TotalCount,,\nBriggate,02-Mar-23,2,11,,\n,,,,,\n",
-    "c.csv": "Location,Date,Hour,InCount,ReportCount\nAlbion,02/03/23,01:00,99,5\nAlbion,02/03/23,02:00,99,\n",
+    "c (2) [x]+{y}.csv": "Location,Date,Hour,InCount,ReportCount\nAlbion,02/03/23,01:00,99,5\nAlbion,02/03/23,02:00,99,\n",
     "d.csv": "LocationName,Date,Hour,ReportCount\nBriggate,02/03/23,,700\n",
     "e.csv": "Date,Hour,LocationName,Count,Note\n2023-03-02,3.0,\"Head, row\",7.0,x\n2023-03-02,4.0,Head,8,\n",
     "empty.csv": "LocationName,Date,Hour,Count\n",
@@ -150,3 +150,10 @@ def test_catalogue(spark):
     assert [tuple(r) for r in catalogue.csv_files(docs).collect()] == [(1, "My_file.csv", "0", f"{base}/v2/My%20file.csv")]
     # a name is compared as it stands in the address
     assert catalogue.csv_files(docs, ["My file.csv", "My_file.csv"]).filter(F.col("file_name") == "My_file.csv").count() == 1
+
+
+def test_repeated_header_names_are_read(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "r.csv").write_text("LocationName,Date,Hour,Count,Count,a.b\nB,02/03/23,1,4,5,x\nB,02/03/23,2,4,,x\n")
+    rows = cleaning.clean_leeds(csv_layouts.read_layouts(spark, str(tmp_path / "raw"))[0]).collect()
+    assert [r.total_footfall for r in rows] == [4]
