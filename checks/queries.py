@@ -13,7 +13,7 @@ from kerbside.operators import cleaning, history, joins, quality
 from kerbside.operators.columns import with_preferred
 from kerbside.operators.trailing import SERIES, with_trailing_features
 from kerbside.plans import loads, model, reporting, scoring
-from kerbside.schemas import FOOTFALL, FORECASTS, WEATHER_HISTORY
+from kerbside.schemas import FOOTFALL, WEATHER_HISTORY
 from kerbside.session import configure, staging_path
 from kerbside.sources import catalogue, csv_layouts, json_docs, tables
 
