@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -12,8 +14,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # tables kept by day have thousands of folders; list many of them per task
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    # text that does not fit its type is an error, never a null
+    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -43,3 +45,22 @@ def staging_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path below the staging root."""
     return f"{staging_root(spark)}/kerbside/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once for each application.
+
+    Workers import the functions that tasks run by their module; they need not
+    have the package on their own path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="kerbside-package-")
+    archive = shutil.make_archive(f"{folder}/kerbside-package", "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
