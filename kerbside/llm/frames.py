@@ -31,14 +31,14 @@ def n_words(column: str = "text"):
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def map_rows(
-    frame: DataFrame, columns: list[str], start: Callable[[], Callable[..., Iterable[tuple]]], schema: str, chunk: int = 2000
+def map_chunks(
+    frame: DataFrame, columns: list[str], start: Callable[[], Callable[..., list[tuple]]], schema: str, chunk: int = 1000
 ) -> DataFrame:
-    """Run a row function over ``columns``, in Arrow batches.
+    """Run a function over ``columns``, a chunk of rows at a time, in Arrow batches.
 
-    ``start`` is called once in each task and returns the row function, so that a
-    task can hold tables and caches of its own. The row function gets the values
-    of a row and returns the result rows.
+    ``start`` is called once in each task and returns the function, so that a
+    task can hold tables and caches of its own. The function gets one list for
+    each column and returns the result rows.
     """
     ship_package(frame.sparkSession)
     kind = StructType.fromDDL(schema)
@@ -47,20 +47,24 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
         for batch in batches:
-            out: list[tuple] = []
             for at in range(0, batch.num_rows, chunk):
-                part = batch.slice(at, chunk)
-                for row in zip(*(column.to_pylist() for column in part.columns), strict=True):
-                    out.extend(function(*row))
-                if len(out) >= chunk:
-                    yield _batch(out, arrow)
-                    out = []
-            if out:
-                yield _batch(out, arrow)
+                rows = function(*(column.to_pylist() for column in batch.slice(at, chunk).columns))
+                if rows:
+                    yield _batch(rows, arrow)
 
     return frame.select(*columns).mapInArrow(run, kind)
 
 
+def map_rows(frame: DataFrame, columns: list[str], start: Callable[[], Callable[..., Iterable[tuple]]], schema: str, chunk: int = 1000) -> DataFrame:
+    """``map_chunks`` with a function of one row, which returns the rows that come of it."""
+
+    def by_row():
+        function = start()
+        return lambda *lists: [out for row in zip(*lists, strict=True) for out in function(*row)]
+
+    return map_chunks(frame, columns, by_row, schema, chunk)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     values = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(values, schema, strict=True)], schema=schema)

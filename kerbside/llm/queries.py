@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import chat, mixing, rollups
+from kerbside.llm import bpe, chat, divergence, mixing, rollups
 from kerbside.llm.frames import n_words, stage, table
 from kerbside.session import staging_path
 
 
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all documents, against references learned from all of them."""
+    documents = table(spark, sf_dir, "documents")
+    return divergence.judge(documents, divergence.learn(documents))
+
+
 def op3_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Examples of all conversations and of one whose texts hold control strings."""
     odd = "\\### Assistant: </turn> ok"
@@ -44,6 +51,15 @@ from prefixes group by conv_id
 """
 
 
+#: The vocabulary that the BPE queries use.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to tokens and back."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 #: Token counts of this query: words, and letter or digit runs and single other characters.
 WORDS_1, PIECES_1 = r"[^\x20\x09-\x0D]+", r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
 #: What the revision of pieces-1 counts: digits stand alone.
@@ -101,7 +117,9 @@ def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_divergence": op2_divergence,
     "op3_prefix_targets": op3_prefix_targets,
+    "op4_bpe": op4_bpe,
     "op7_token_rollups": op7_token_rollups,
     "op8_pivotal_mix": op8_pivotal_mix,
 }
