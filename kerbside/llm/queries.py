@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, chat, divergence, mixing, rollups
+from kerbside.llm import bpe, chat, divergence, mixing, rollups, toxicity
 from kerbside.llm.frames import n_words, stage, table
 from kerbside.session import staging_path
 
@@ -51,6 +51,9 @@ from prefixes group by conv_id
 """
 
 
+#: A document is toxic from this score on.
+TOXIC_FROM = 0.3
+
 #: The vocabulary that the BPE queries use.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -116,11 +119,24 @@ def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from the labels of three quarters of the ids."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    scores = toxicity.score(documents, model)
+    return scores.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "n_segments", "best_start", "best_end",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_divergence": op2_divergence,
     "op3_prefix_targets": op3_prefix_targets,
     "op4_bpe": op4_bpe,
     "op7_token_rollups": op7_token_rollups,
     "op8_pivotal_mix": op8_pivotal_mix,
+    "op10_toxic_segments": op10_toxic_segments,
 }
 ORACLE: dict[str, str] = {"op3_prefix_targets": OP3_SQL, "op7_token_rollups": OP7_SQL}
