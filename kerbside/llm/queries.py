@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, chat, divergence, mixing, rollups, toxicity
+from kerbside.llm import bpe, chat, divergence, mixing, pii, rollups, toxicity
 from kerbside.llm.frames import n_words, stage, table
 from kerbside.session import staging_path
 
 
+def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the field is trained on its small labelled table."""
+    return pii.digests(table(spark, sf_dir, "documents"), pii.train(pii.labelled_table()))
+
+
 def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all documents, against references learned from all of them."""
     documents = table(spark, sf_dir, "documents")
@@ -132,6 +137,7 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_crf": op1_pii_crf,
     "op2_divergence": op2_divergence,
     "op3_prefix_targets": op3_prefix_targets,
     "op4_bpe": op4_bpe,
