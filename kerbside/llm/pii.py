@@ -251,7 +251,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def train(table: list[tuple[Run, list[str]]], steps: int = 120, rate: float = 0.5, ridge: float = 2e-4) -> Field:
     """Weights of largest penalised likelihood, by forward and backward sums over padded batches and Adagrad steps."""
-    told = [(features(run), [TAGS.index(t) for t in tags]) for run, tags in table]
+    told = sorted(((features(run), [TAGS.index(t) for t in tags]) for run, tags in table), key=lambda x: -len(x[1]))
     index = {name: i for i, name in enumerate(sorted({f for rows, _ in told for row in rows for f in row}))}
     n, longest, most = len(told), max(len(t) for _, t in told), max(len(r) for rows, _ in told for r in rows)
     active = np.full((n, longest, most), len(index))
@@ -260,6 +260,7 @@ def train(table: list[tuple[Run, list[str]]], steps: int = 120, rate: float = 0.
         mask[s, : len(tags)], gold[s, : len(tags)] = True, tags
         for t, row in enumerate(rows):
             active[s, t, : len(row)] = [index[f] for f in row]
+    lasting = mask.sum(axis=0)
     # places that are words, and for each feature the places that have it, end to end
     flat = active[mask]
     order = np.argsort(flat, axis=None, kind="stable")
@@ -274,20 +275,21 @@ def train(table: list[tuple[Run, list[str]]], steps: int = 120, rate: float = 0.
         e[mask] = emit[flat].sum(axis=1)
         ahead, behind = np.zeros((n, longest, k)), np.zeros((n, longest, k))
         ahead[:, 0] = e[:, 0] + m[0]
-        for t in range(1, longest):
-            ahead[:, t] = np.where(mask[:, t, None], _log_sum(ahead[:, t - 1, :, None] + m[1:], 1) + e[:, t], ahead[:, t - 1])
+        for t in range(1, longest):  # the first rows are the longest ones
+            on = slice(0, lasting[t])
+            ahead[on, t] = _log_sum(ahead[on, t - 1, :, None] + m[1:], 1) + e[on, t]
         for t in range(longest - 2, -1, -1):
-            behind[:, t] = np.where(mask[:, t + 1, None], _log_sum(m[1:] + (e[:, t + 1] + behind[:, t + 1])[:, None, :], 2), 0)
-        z = _log_sum(ahead[:, -1], 1)
-        node = np.exp(ahead + behind - z[:, None, None]) * mask[:, :, None]
-        rest = -node
+            on = slice(0, lasting[t + 1])
+            behind[on, t] = _log_sum(m[1:] + (e[on, t + 1] + behind[on, t + 1])[:, None, :], 2)
+        z = _log_sum(ahead[np.arange(n), mask.sum(axis=1) - 1], 1)
+        rest = -np.exp(np.where(mask[:, :, None], ahead + behind - z[:, None, None], -np.inf))
         rest[np.nonzero(mask) + (gold[mask],)] += 1
         grad_emit = np.zeros_like(emit)
         grad_emit[names] = np.add.reduceat(rest[mask][having], begins)
         grad_move = np.zeros_like(move)
         grad_move[0] = rest[:, 0].sum(axis=0)
         for t in range(1, longest):
-            on = mask[:, t]
+            on = slice(0, lasting[t])
             edge = np.exp(ahead[on, t - 1, :, None] + m[1:] + (e[on, t] + behind[on, t])[:, None, :] - z[on, None, None])
             grad_move[1:] -= edge.sum(axis=0)
             np.add.at(grad_move, (gold[on, t - 1] + 1, gold[on, t]), 1)
