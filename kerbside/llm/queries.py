@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, chat, divergence, mixing, pii, rollups, toxicity
+from kerbside.llm import bpe, chat, divergence, html_text, mixing, neighbours, pii, rollups, toxicity
 from kerbside.llm.frames import n_words, stage, table
 from kerbside.session import staging_path
 
@@ -68,6 +68,33 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op5_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_block_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of each vector whose id is divisible by 100."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+OP6_SQL = """
+with vectors as (
+  select vec_id, min(embedding) as embedding from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+  group by vec_id
+), pairs as (
+  select q.vec_id as query_id, c.vec_id, sqrt(list_reduce(list_transform(
+    list_zip(q.embedding::double[], c.embedding::double[]), lambda x: (x[1] - x[2]) * (x[1] - x[2])), lambda x, y: x + y)) as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.embedding) = len(c.embedding)
+  where q.vec_id % 100 = 0
+)
+select query_id, (row_number() over (partition by query_id order by score, vec_id))::int as rank, vec_id, score
+from pairs qualify rank <= 10
+"""
+
+
 #: Token counts of this query: words, and letter or digit runs and single other characters.
 WORDS_1, PIECES_1 = r"[^\x20\x09-\x0D]+", r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
 #: What the revision of pieces-1 counts: digits stand alone.
@@ -141,8 +168,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_divergence": op2_divergence,
     "op3_prefix_targets": op3_prefix_targets,
     "op4_bpe": op4_bpe,
+    "op5_tag_ratio": op5_tag_ratio,
+    "op6_block_ann": op6_block_ann,
     "op7_token_rollups": op7_token_rollups,
     "op8_pivotal_mix": op8_pivotal_mix,
     "op10_toxic_segments": op10_toxic_segments,
 }
-ORACLE: dict[str, str] = {"op3_prefix_targets": OP3_SQL, "op7_token_rollups": OP7_SQL}
+ORACLE: dict[str, str] = {"op3_prefix_targets": OP3_SQL, "op6_block_ann": OP6_SQL, "op7_token_rollups": OP7_SQL}
