@@ -50,7 +50,7 @@ def map_chunks(
             for at in range(0, batch.num_rows, chunk):
                 rows = function(*(column.to_pylist() for column in batch.slice(at, chunk).columns))
                 if rows:
-                    yield _batch(rows, arrow)
+                    yield record_batch(rows, arrow)
 
     return frame.select(*columns).mapInArrow(run, kind)
 
@@ -65,7 +65,7 @@ def map_rows(frame: DataFrame, columns: list[str], start: Callable[[], Callable[
     return map_chunks(frame, columns, by_row, schema, chunk)
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     values = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, chat, divergence, html_text, mixing, neighbours, pii, rollups, toxicity
+from kerbside.llm import bpe, chat, divergence, html_text, mixing, neighbours, pii, rollups, similarity, toxicity
 from kerbside.llm.frames import n_words, stage, table
 from kerbside.session import staging_path
 
@@ -151,6 +151,12 @@ def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class and the number of links of all documents."""
+    found = similarity.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_text_links")
+
+
 def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents, learned from the labels of three quarters of the ids."""
     documents = table(spark, sf_dir, "documents")
@@ -172,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_block_ann": op6_block_ann,
     "op7_token_rollups": op7_token_rollups,
     "op8_pivotal_mix": op8_pivotal_mix,
+    "op9_chosen_path_join": op9_chosen_path_join,
     "op10_toxic_segments": op10_toxic_segments,
 }
 ORACLE: dict[str, str] = {"op3_prefix_targets": OP3_SQL, "op6_block_ann": OP6_SQL, "op7_token_rollups": OP7_SQL}
