@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from kerbside.llm.frames import map_rows, sha256
+from kerbside.session import ship_package
 
 #: Fixed: how the vocabulary's text is cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -225,20 +228,29 @@ def _ship(frame: DataFrame, path: str) -> str:
 
 
 def encode(frame: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ids (an array) of each whole text, null texts as empty ones.
+    """``key``, n_tokens and ids (an array) of each whole text, null texts as empty ones.
 
     Special tokens of the file are found in the text, none is added. ``path`` is
     the file of a byte-level BPE tokenizer. Rows stay as they are, repeated ones
     too; other columns are not read.
     """
     name = _ship(frame, path)
+    ship_package(frame.sparkSession)
     kind = frame.schema[key].dataType.simpleString()
 
-    def start():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _on_worker(name)
-        return lambda k, t: [(k, own.encode(t or ""))]
-
-    return map_rows(frame, [key, text], start, f"{key} {kind}, ids array<int>", chunk=200)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                decimals = [own.encode_decimal(t or "") for t in part.column(1).to_pylist()]
+                arrays = [np.fromstring(d, np.int32, sep=",") if d else np.zeros(0, np.int32) for d in decimals]
+                sizes = np.array([len(a) for a in arrays])
+                ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), ids], names=[key, "n_tokens", "ids"])
+
+    return frame.select(key, text).mapInArrow(run, f"{key} {kind}, n_tokens long, ids array<int>")
 
 
 def decode(frame: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -218,3 +218,22 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
         return row
 
     return map_rows(documents, [key, "text"], start, f"{key} {kind}, score double, n_segments long, best_start long, best_end long")
+
+
+def reject(documents: DataFrame, model: Model, score_from: float) -> DataFrame:
+    """The documents whose score stays below ``score_from``, all columns and rows as they are."""
+    columns = documents.columns
+    at = columns.index("text")
+
+    def start():
+        def chunk(*lists):
+            rows = zip(*lists, strict=True)
+            return [r for r in rows if probability(model, sum(s[2] for s in _evidence(r[at], model))) < score_from]
+
+        return chunk
+
+    return map_chunks(documents, [f"`{c}`" for c in columns], start, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema))
+
+
+def _evidence(text: str | None, model: Model) -> list[tuple[int, int, float]]:
+    return _significant(text or "", model.scores, model.rest, model.lam, model.k)[0]
