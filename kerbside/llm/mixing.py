@@ -101,7 +101,7 @@ def mix(
     weights: tuple[int, ...] = (1, 2, 3),
     most: float = 3.0,
     seed: int = 20,
-    cell_rows: int = 20_000,
+    cell_rows: int = 2_000,
     fan_in: int = 1_000,
 ) -> DataFrame:
     """How many copies of each document a mix takes.
