@@ -51,7 +51,7 @@ def is_marked(attrs: list[tuple[str, str | None]]) -> bool:
             continue
         if name == "role" and value.strip().lower() in ROLES:
             return True
-        if name in ("class", "id") and not MARKED.isdisjoint(WORDS.findall(SPLIT_CASE.sub(" ", value).lower())):
+        if name in ("class", "id") and not MARKED.isdisjoint(WORDS.findall(f"{value} {SPLIT_CASE.sub(' ', value)}".lower())):
             return True
         if name == "aria-hidden" and value == "true":
             return True

@@ -1,0 +1,86 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kerbside.llm import similarity as s
+
+
+def plain(texts, similar=0.8):
+    """class and number of links of each of a list of texts, by comparing all pairs."""
+    sets = []
+    for text in texts:
+        words = (text or "").encode().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    label, links = list(range(len(texts))), [0] * len(texts)
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and both >= similar * (len(sets[a]) + len(sets[b]) - both):
+                links[a], links[b] = links[a] + 1, links[b] + 1
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    return label, links
+
+
+def texts(n=160):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = " ".join(word() for _ in range(40))
+    out = []
+    for i in range(n):
+        base = [word() for _ in range(rng.choice([3, 12, 60, 200]))]
+        if i % 3 == 0:
+            base += passage.split()
+        out.append(" ".join(base))
+        for _ in range(rng.choice([0, 0, 1, 4])):
+            edited = list(base)
+            for _ in range(rng.choice([0, 1, 1, 3])):
+                edited[rng.randrange(len(edited))] = word()
+            out.append(" ".join(edited))
+    core = [word() for _ in range(150)]
+    for i in range(60):  # a family of near copies, each with one word of its own
+        core[(7 * i) % 150] = word()
+        out.append(" ".join(core))
+    return out + ["", None, " \n", "one", "one", "one two", "one  two"]
+
+
+@pytest.mark.parametrize("plan", [s.Plan(), s.Plan(leaf=8, depth=2, rows=10)], ids=["default", "small blocks"])
+def test_against_all_pairs(documents, plan):
+    own = texts()
+    found = documents(list(enumerate(own)))
+    label, links = plain(own)
+    out = {r["doc_id"]: r for r in s.join(found, plan).collect()}
+    assert len(out) == len(own)
+    assert [out[i]["class_id"] for i in range(len(own))] == label
+    assert [out[i]["n_links"] for i in range(len(own))] == links
+    kept = s.one_of_each(found, plan)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label))
+    assert kept.columns == found.columns
+
+
+def test_odd_rows(documents):
+    long = "w " * 5 + " ".join(f"x{i}" for i in range(60_000))
+    found = documents([(1, "a b c d e f"), (1, "a b c d e f"), (1, "other text of the same id"), (None, "a b c d e f"), (None, None), (5, long), (6, long + " end")])
+    out = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in s.join(found).collect()), key=repr)
+    assert out == sorted([(1, 1, 2), (1, 1, 2), (1, 1, 0), (None, 1, 2), (None, None, 0), (5, 5, 1), (6, 5, 1)], key=repr)
+    assert s.one_of_each(found).count() == 4
+    assert s.join(found.limit(0)).count() == 0
+
+
+def test_tokens_depend_on_words_alone():
+    assert np.array_equal(s.shingles("a  b\nc d e\tf"), s.shingles("a b c d e f"))
+    assert len(s.shingles("a b c d e f")) == 2 and len(s.shingles("a")) == 1 and len(s.shingles(None)) == 0
+    assert s.Plan().runs >= 9 and 60 < s.Plan().least_equal < 0.8 * s.SKETCH
+
+
+def test_connected(spark):
+    rng = random.Random(4)
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 200) for i in range(50)] + [(300, 301), (302, 301), (5, 5)]
+    rng.shuffle(pairs)
+    links = spark.createDataFrame(pairs, "a long, b long")
+    out = {r["node"]: r["root"] for r in s.connected(links, "test").collect()}
+    want = {i: 0 for i in range(61)} | {i: 100 for i in [*range(100, 150), 200]} | {300: 300, 301: 300, 302: 300}
+    assert out == want
+    assert s.connected(links.where(F.col("a") < 0), "none").count() == 0
