@@ -29,7 +29,7 @@ def test_segments():
     for _ in range(300):
         n = rng.randint(1, 25)
         values = sorted((i, rng.choice([3.1, 1.7, 0.9, -1.3])) for i in rng.sample(range(n), rng.randint(0, n)))
-        got, want = t.segments(values, n, -0.37), plain_segments(values, n, -0.37)
+        got, want = t.segments(values, n, -0.3713), plain_segments(values, n, -0.3713)
         assert [g[:2] for g in got] == [w[:2] for w in want]
         assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want, strict=True))
 
