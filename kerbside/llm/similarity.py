@@ -30,8 +30,8 @@ class Plan:
     shingle: int = 5
     similar: float = 0.8
     recall: float = 0.999999
-    leaf: int = 1024
-    depth: int = 6
+    leaf: int = 4096
+    depth: int = 3
     rows: int = 1024
     tokens: int = 3_000_000
     seed: int = 9
@@ -184,10 +184,14 @@ def _bucket(least: int) -> Callable[[tuple, list[tuple]], Iterable[tuple]]:
             return
         ids = sorted(by_id)
         sketches = np.frombuffer(b"".join(by_id[i] for i in ids), np.uint32).reshape(len(ids), SKETCH)
+        places = np.ascontiguousarray(sketches.T)
         near = np.zeros((len(ids), len(ids)), bool)
-        step = max(1, 2_000_000 // (len(ids) * SKETCH))
+        step = max(1, 1_000_000 // len(ids))
         for at in range(0, len(ids), step):
-            near[at : at + step] = (sketches[at : at + step, None, :] == sketches[None, :, :]).sum(axis=2) >= least
+            equal = np.zeros((min(step, len(ids) - at), len(ids)), np.uint8)
+            for place in places:
+                equal += place[at : at + step, None] == place[None, :]
+            near[at : at + step] = equal >= least
         for i, first in enumerate(_components(near)):
             if first != i:
                 yield ids[i], ids[first]
