@@ -1,10 +1,11 @@
 """The given tables seen as counts, weather, forecasts and holidays, and as raw files of each.
 
-Measures are whole numbers, so sums do not depend on the order of addition.
+Measures are whole numbers or quarters, so sums do not depend on the order of addition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,6 +22,31 @@ HOLIDAY_PRICE = 490000
 
 
 _schemas: dict[str, StructType] = {}
+_stored: dict[tuple, str] = {}
+
+
+def _storable(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let :func:`store` keep an input as a table, which later calls then read."""
+
+    def read(spark: SparkSession, sf_dir: str, *args, **options) -> DataFrame:
+        rows = make(spark, sf_dir, *args, **options)
+        path = _stored.get((spark.sparkContext.applicationId, sf_dir, make.__name__, args, *sorted(options.items())))
+        return rows if path is None else spark.read.schema(rows.schema).parquet(path)
+
+    read.make = make
+    return read
+
+
+def store(spark: SparkSession, sf_dir: str) -> None:
+    """Make the inputs once, so that timings are of the operators alone."""
+    wanted = [(footfall, ("F",), {}), (footfall, ("O",), {}), (footfall, (), {})]
+    wanted += [(f, (), o) for f, name in ((weather, "gaps"), (forecasts, "coming"), (holidays, "rare")) for o in ({}, {name: True})]
+    for read, args, options in wanted:
+        rows = read.make(spark, sf_dir, *args, **options)
+        path = staging_path(spark, read.make.__name__)
+        rows.write.parquet(path)
+        _stored[(spark.sparkContext.applicationId, sf_dir, read.make.__name__, args, *sorted(options.items()))] = path
+    write_raw_counts(spark, sf_dir)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +62,7 @@ def _line_hour() -> Column:
     return F.col("l_shipdate").cast("timestamp") + hours
 
 
+@_storable
 def footfall(spark: SparkSession, sf_dir: str, city: str | None = None) -> DataFrame:
     """Counts of both cities, or of one."""
     lines = table(spark, sf_dir, "lineitem")
@@ -69,23 +96,31 @@ def _weather_measures(nullable: bool) -> list[Column]:
     ]
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly weather; a quarter of the suppliers report none, so some counted hours have no weather."""
+@_storable
+def weather(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Hourly weather, in quarters of a degree.
+
+    With ``gaps`` a quarter of the suppliers report none, so that some counted hours
+    have no weather; that is for the joins, where it matters.
+    """
+    lines = table(spark, sf_dir, "lineitem")
     rows = (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_suppkey") % 4 != 0)
+        (lines.filter(F.col("l_suppkey") % 4 != 0) if gaps else lines)
         .groupBy(F.col("l_linestatus").alias("city"), _line_hour().alias("date"))
-        .agg(F.sum("l_quantity").alias("temp"), *_weather_measures(nullable=True))
+        .agg((F.sum("l_quantity") / 4).alias("temp"), *_weather_measures(nullable=True))
     )
     return conform(rows, WEATHER_HISTORY)
 
 
-def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_storable
+def forecasts(spark: SparkSession, sf_dir: str, coming: bool = False) -> DataFrame:
+    """Daily forecasts of all days, or of the days that are scored, some without one."""
     shipped = F.col("l_shipdate")
+    lines = table(spark, sf_dir, "lineitem")
+    if coming:
+        lines = lines.filter((F.col("l_partkey") % 2 == 0) & (shipped >= F.lit(AS_OF)) & (shipped < F.lit(FORECAST_END)))
     rows = (
-        table(spark, sf_dir, "lineitem")
-        .filter((F.col("l_partkey") % 2 == 0) & (shipped >= F.lit(AS_OF)) & (shipped < F.lit(FORECAST_END)))
-        .groupBy(F.col("l_linestatus").alias("city"), F.to_date(shipped).alias("date"))
+        lines.groupBy(F.col("l_linestatus").alias("city"), F.to_date(shipped).alias("date"))
         .agg(
             F.min("l_quantity").alias("min_temp"),
             F.max("l_quantity").alias("max_temp"),
@@ -95,8 +130,12 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(rows, FORECASTS)
 
 
-def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > HOLIDAY_PRICE)
+@_storable
+def holidays(spark: SparkSession, sf_dir: str, rare: bool = False) -> DataFrame:
+    """Order days as holidays, or only a few of them, as the joins would meet."""
+    rows = table(spark, sf_dir, "orders")
+    if rare:
+        rows = rows.filter(F.col("o_totalprice") > HOLIDAY_PRICE)
     rows = rows.select(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("name"))
     return conform(rows.distinct(), HOLIDAYS)
 
@@ -180,6 +219,45 @@ def write_raw_york(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_raw_broken(spark: SparkSession, sf_dir: str) -> str:
+    """All events as one layout; half of the rows have one fault: a cell too many, or an unreadable text."""
+    path = staging_path(spark, "raw-broken")
+    fault = F.col("event_id") % 8
+    count = _event_count()
+    hour = F.hour("ts").cast("string")
+    cells = [
+        F.col("event_type"),
+        F.when(fault == 2, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd")),
+        F.when(fault == 1, "25").otherwise(hour),
+        F.when(fault == 0, F.concat(count, F.lit(",more"))).when(fault == 3, F.concat(count, F.lit(".5"))).otherwise(count),
+    ]
+    # one text to a row, so a comma in a cell starts another
+    line = F.concat_ws(",", *cells).alias("LocationName,Date,Hour,Count")
+    rows = table(spark, sf_dir, "events").select(line, F.lit("broken.csv").alias("source_file"))
+    rows.write.partitionBy("source_file").options(header="true", sep="|").csv(path)
+    return path
+
+
+def count_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue of the raw count files: one twice, one in another format, one unlisted, one wrongly named."""
+    half = F.when(F.dayofmonth("ts") <= 15, F.lit("a")).otherwise(F.lit("b"))
+    names = (
+        table(spark, sf_dir, "events")
+        .select(F.concat(F.lit("counts-"), (F.col("event_id") % 7).cast("string"), half, F.lit(".csv")).alias("name"))
+        .distinct()
+        .filter(F.col("name") != "counts-6b.csv")
+    )
+    url = lambda folder: F.concat(F.lit(f"https://data.example/{folder}/"), F.col("name"))
+    kind = F.when(F.col("name") == "counts-0a.csv", "xls").otherwise("csv")
+    one = names.select(F.col("name").alias("key"), F.struct(kind.alias("format"), url("f").alias("url")).alias("value"))
+    again = names.filter(F.col("name") == "counts-1a.csv").select(
+        F.lit("zz").alias("key"), F.struct(F.lit("csv").alias("format"), url("new").alias("url")).alias("value")
+    )
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value"))))
+    docs = one.union(again).agg(entries.alias("resources"))
+    return docs.select(F.lit(1).cast("bigint").alias("doc_id"), F.to_json(F.struct("resources")).alias("body"))
+
+
 def catalogue_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as catalogue documents of at most 50 entries; brands repeat inside a document."""
     key = F.col("p_partkey")

@@ -20,20 +20,31 @@ def _measures(nullable: bool) -> str:
          sum({rain}) AS rain, sum({snow}) AS snow"""
 
 
-_WEATHER = f"""weather AS (
-  SELECT l_linestatus AS city, {_TS} AS date, sum(l_quantity) AS temp, {_measures(True)}
-  FROM lineitem WHERE l_suppkey % 4 <> 0 GROUP BY 1, 2)"""
 
-_FORECASTS = f"""forecasts AS (
+
+def _weather(condition: str = "") -> str:
+    return f"""weather AS (
+  SELECT l_linestatus AS city, {_TS} AS date, CAST(sum(l_quantity) AS DOUBLE) / 4 AS temp, {_measures(True)}
+  FROM lineitem {condition} GROUP BY 1, 2)"""
+
+
+def _forecasts(condition: str = "") -> str:
+    return f"""forecasts AS (
   SELECT l_linestatus AS city, CAST(l_shipdate AS DATE) AS date,
          min(l_quantity) AS min_temp, max(l_quantity) AS max_temp, {_measures(False)}
-  FROM lineitem
-  WHERE l_partkey % 2 = 0 AND l_shipdate >= DATE '2001-06-01' AND l_shipdate < DATE '2001-07-01'
-  GROUP BY 1, 2)"""
+  FROM lineitem {condition} GROUP BY 1, 2)"""
+
+
+def _holidays(condition: str = "") -> str:
+    return f"""holidays AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS name FROM orders {condition})"""
 
-_HOLIDAYS = """holidays AS (
-  SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS name
-  FROM orders WHERE o_totalprice > 490000)"""
+
+# All rows of the tables; and, for joins and scoring, inputs in which some hours and days are absent.
+_ALL_WEATHER, _ALL_FORECASTS, _ALL_HOLIDAYS = _weather(), _forecasts(), _holidays()
+_WEATHER = _weather("WHERE l_suppkey % 4 <> 0")
+_FORECASTS = _forecasts("WHERE l_partkey % 2 = 0 AND l_shipdate >= DATE '2001-06-01' AND l_shipdate < DATE '2001-07-01'")
+_HOLIDAYS = _holidays("WHERE o_totalprice > 490000")
 
 ROLLING = """hourly AS (
   SELECT f.*, w.* EXCLUDE (city, date) FROM footfall f JOIN weather w ON f."timestamp" = w.date AND f.city = w.city),
@@ -131,9 +142,11 @@ _YORK = """SELECT 'York' AS city, event_type AS footfall_location, date_trunc('h
 FROM events"""
 
 _KELVIN = "CAST(273.15 AS DOUBLE)"
-_FLAT_FORECAST = _with(_FORECASTS) + f"""SELECT city, date, min_temp + {_KELVIN} - {_KELVIN} AS min_temp,
+_FLAT_FORECAST = _with(_ALL_FORECASTS) + f"""SELECT city, date, min_temp + {_KELVIN} - {_KELVIN} AS min_temp,
   max_temp + {_KELVIN} - {_KELVIN} AS max_temp, pressure, humidity, clouds, wind, rain, snow FROM forecasts"""
-_FLAT_HOLIDAYS = _with(_HOLIDAYS) + "SELECT date, name FROM holidays WHERE name[1] <> '2'"
+# The service's rounding of a temperature that went through kelvin.
+_FLAT_TEMP = f"round_even(temp + {_KELVIN} - {_KELVIN}, 1)"
+_FLAT_HOLIDAYS = _with(_ALL_HOLIDAYS) + "SELECT date, name FROM holidays WHERE name[1] <> '2'"
 
 
 def _slice(start: str, end: str) -> str:
@@ -161,7 +174,7 @@ FROM kept WHERE place = 1""",
     "forecast_flatten": _FLAT_FORECAST,
     "json_landing_roundtrip": _FLAT_FORECAST,
     "forecast_load": _FLAT_FORECAST,
-    "history_flatten": _with(_WEATHER) + """SELECT city, date, temp, pressure, humidity, clouds, wind,
+    "history_flatten": _with(_ALL_WEATHER) + f"""SELECT city, date, {_FLAT_TEMP} AS temp, pressure, humidity, clouds, wind,
   coalesce(rain, 0) AS rain, coalesce(snow, 0) AS snow FROM weather""",
     "holiday_flatten": _FLAT_HOLIDAYS,
     "holiday_load": _FLAT_HOLIDAYS,
@@ -170,13 +183,14 @@ UNION ALL SELECT DISTINCT * FROM footfall WHERE hour("timestamp") >= 8""",
     "typed_sink_roundtrip": _with(_FOOTFALL) + "SELECT * FROM footfall",
     "csv_sink_roundtrip": _with(_FOOTFALL) + """SELECT *, footfall_location || '.csv' AS source_file FROM footfall
 UNION ALL SELECT *, 'run' FROM footfall""",
-    "history_slice_replace": _with(_WEATHER, _slice("2001-05-20", "2001-06-01")) + """SELECT * FROM slice
+    "history_slice_replace": _with(_ALL_WEATHER, _slice("2001-05-20", "2001-06-01")) + """SELECT * FROM slice
 UNION ALL SELECT * FROM weather WHERE CAST(date AS DATE) NOT IN (SELECT CAST(date AS DATE) FROM slice)""",
-    "history_refresh": _with(_WEATHER, _slice("2001-05-20", "2001-06-01")) + _MERGED,
+    "history_refresh": _with(_ALL_WEATHER, _slice("2001-05-20", "2001-06-01")) + _MERGED,
     "history_refresh_range": _with(
-        _WEATHER,
+        _ALL_WEATHER,
         _slice("2001-05-15", "2001-06-01").replace(
-            "(temp + 1 AS temp)", "(temp + 1 AS temp, coalesce(rain, 0) AS rain, coalesce(snow, 0) AS snow)"
+            "(temp + 1 AS temp)",
+            f"({_FLAT_TEMP.replace('temp', '(temp + 1)')} AS temp, coalesce(rain, 0) AS rain, coalesce(snow, 0) AS snow)",
         ),
     ) + _MERGED,
     "preferred_column": """SELECT event_id, CASE WHEN user_id > 20 THEN user_id END AS total_footfall,
@@ -185,6 +199,21 @@ UNION ALL SELECT * FROM weather WHERE CAST(date AS DATE) NOT IN (SELECT CAST(dat
     "clean_leeds_union": _with(_CLEANED) + "SELECT DISTINCT * EXCLUDE (source_file) FROM cleaned",
     "leeds_load": _with(_CLEANED) + """SELECT DISTINCT * EXCLUDE (source_file) FROM cleaned
 WHERE source_file <> 'counts-3b.csv'""",
+    "leeds_catalogue_load": _with(_CLEANED) + """SELECT DISTINCT * EXCLUDE (source_file) FROM cleaned
+WHERE source_file NOT IN ('counts-3b.csv', 'counts-0a.csv', 'counts-6b.csv')""",
+    "leeds_load_quarantine": f"""WITH rows AS (
+  SELECT event_id % 8 AS fault, event_type AS location, date_trunc('hour', ts) AS moment, CAST(floor(value) AS BIGINT) AS n,
+    strftime(ts, '%Y-%m-%d') AS day, {_H} AS hour, {_EVENT_COUNT} AS count FROM events)
+SELECT DISTINCT 'Leeds' AS city, location AS footfall_location, moment AS "timestamp", n AS total_footfall,
+  NULL::VARCHAR AS source_file, NULL::VARCHAR AS reason, NULL::VARCHAR AS record
+FROM rows WHERE fault > 3
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'broken.csv',
+  CASE fault WHEN 0 THEN 'cells' WHEN 1 THEN 'hour' WHEN 2 THEN 'date' ELSE 'count' END,
+  CASE WHEN fault = 0 THEN CAST(to_json({{'LocationName': location, 'Date': day, 'Hour': hour, 'Count': count,
+      '_malformed': location || ',' || day || ',' || hour || ',' || count || ',more'}}) AS VARCHAR)
+    ELSE CAST(to_json({{'LocationName': location, 'Date': CASE WHEN fault = 2 THEN 'soon' ELSE day END,
+      'Hour': CASE WHEN fault = 1 THEN '25' ELSE hour END, 'Count': CASE WHEN fault = 3 THEN count || '.5' ELSE count END}}) AS VARCHAR) END
+FROM rows WHERE fault <= 3""",
     "clean_york": _YORK,
     "york_load": _YORK,
     "hour_text": """SELECT event_id,
@@ -246,12 +275,20 @@ FROM summary""",
   count(*) AS total_files, CAST(sum(rows) AS BIGINT) AS total_rows FROM summary GROUP BY columns_str""",
     "layout_sample": _with(_SUMMARY) + f"""SELECT columns_str, filename, {_COLUMNS_CNT} AS columns_cnt, rows FROM summary
 QUALIFY row_number() OVER (PARTITION BY columns_str ORDER BY filename) = 1""",
+    "layout_preview": f"""WITH rows AS (
+  SELECT {_by_layout(0)} AS columns_str, {_SOURCE} AS source_file, event_type AS location_text,
+    {_by_layout(1)} AS date_text, {_by_layout(2)} AS hour_text, {_by_layout(3)} AS count_text FROM events),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY columns_str, source_file
+    ORDER BY location_text, date_text, hour_text NULLS LAST, count_text) AS place FROM rows
+  QUALIFY source_file = min(source_file) OVER (PARTITION BY columns_str))
+SELECT * FROM placed WHERE place <= 5""",
     "hourly_profile": _with(_FOOTFALL) + """SELECT hour("timestamp") AS hour, avg(total_footfall) AS mean_footfall
 FROM footfall GROUP BY 1""",
     "quality_duplicates": _with(_CLEANED) + """SELECT
   (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (source_file) FROM cleaned))
   AS total_duplicates""",
-    "quality_missing": _with(_WEATHER) + "SELECT *, city + date + temp + pressure + humidity + clouds + wind + rain + snow"
+    "quality_missing": _with(_ALL_WEATHER) + "SELECT *, city + date + temp + pressure + humidity + clouds + wind + rain + snow"
     " AS total_missing FROM (SELECT "
     + ", ".join(
         f"count(*) - count({c}) AS {c}"
@@ -267,3 +304,21 @@ FROM footfall GROUP BY 1""",
   (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (source_file) FROM cleaned)) AS cleaned_rows,
   CAST(0 AS BIGINT) AS unexplained""",
 }
+
+_SCORED = ORACLE["scoring_input"]
+_TRAINING_ROWS = ORACLE["model_input_daily"]
+_CATEGORIES = ["city", "footfall_location", "weekday", "month"]
+_NUMBERS = ["bank_holiday", "rolling_footfall", *_MEANS]
+
+# A forest is no SQL; what any forest must do, and what it is fitted on, is.
+ORACLE |= {
+    "train_model": f"SELECT *, true AS prediction_is_whole, true AS prediction_in_range FROM ({_TRAINING_ROWS})",
+    "predict": f"SELECT *, true AS prediction_is_whole, true AS prediction_in_range FROM ({_SCORED})",
+    "model_roundtrip": f"SELECT *, true AS same FROM ({_SCORED})",
+    "model_encoding": f"WITH rows AS ({_TRAINING_ROWS}) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c} AS value, avg(total_footfall) AS mean, count(*) AS n FROM rows GROUP BY {c}" for c in _CATEGORIES
+    ),
+    "model_filled": f"WITH rows AS ({_TRAINING_ROWS}) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean FROM rows" for c in _NUMBERS),
+}

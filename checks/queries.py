@@ -37,8 +37,7 @@ def query(make: Query) -> Query:
 # ---- scans and sinks -----------------------------------------------------------
 
 
-@query
-def csv_layout_read(spark, sf_dir):
+def csv_layout_rows(spark, sf_dir):
     def named(raw):
         columns = sorted(c for c in raw.columns if c != "source_file")
         raw = with_preferred(raw, cleaning.LOCATION_COLUMNS, "location_text")
@@ -56,6 +55,11 @@ def csv_layout_read(spark, sf_dir):
     return reduce(DataFrame.unionByName, [named(f) for f in frames])
 
 
+@query
+def csv_layout_read(spark, sf_dir):
+    return csv_layout_rows(spark, sf_dir)
+
+
 @query
 def catalogue_filter(spark, sf_dir):
     return catalogue.csv_files(a.catalogue_docs(spark, sf_dir), a.EXCLUDED_BRAND_FILES)
@@ -97,7 +101,10 @@ def typed_sink_roundtrip(spark, sf_dir):
 def csv_sink_roundtrip(spark, sf_dir):
     rows = a.footfall(spark, sf_dir)
     by_source = rows.withColumn("source_file", F.concat("footfall_location", F.lit(".csv")))
-    raw = tables.land_counts(by_source, staging_path(spark, "raw"), staging_path(spark, "processed"), raw=True)
+    # two sources in turn below one root: the second must leave the first alone
+    raw, first = staging_path(spark, "raw"), F.col("footfall_location") < "N"
+    for part in (by_source.filter(first), by_source.filter(~first)):
+        tables.land_counts(part, raw, staging_path(spark, "processed"), raw=True)
     run = tables.write_csv_run(rows, staging_path(spark, "runs"), "2001-06-01 00-00-00")
 
     by_run = tables.read_csv(spark, run, rows.schema).withColumn("source_file", F.lit("run"))
@@ -134,10 +141,10 @@ def history_refresh_range(spark, sf_dir):
     complete_root = staging_path(spark, "complete-days")
     tables.PeriodTable(spark, complete_root, WEATHER_HISTORY).write_periods(rows)
     landed = a.landed(spark, a.history_docs(a.fresh_slice(rows, "2001-05-10", "2001-06-05")), "history-docs")
-    return loads.load_history(
-        spark, landed, staging_path(spark, "history-csv"), staging_path(spark, "history-slices"),
-        complete_root, "2001-06-01 00-00-00", "2001-05-15", "2001-06-01",
-    )
+    at = staging_path(spark, "history-csv"), staging_path(spark, "history-slices"), complete_root
+    run = "2001-06-01 00-00-00", "2001-05-15", "2001-06-01"
+    loads.load_history(spark, landed, *at, *run)
+    return loads.load_history(spark, landed, *at, *run)  # a run can be repeated
 
 
 # ---- columns, cleaning, text ---------------------------------------------------
@@ -163,7 +170,7 @@ def _cleaned(spark, sf_dir):
 
 @query
 def clean_leeds(spark, sf_dir):
-    raw, _ = _cleaned(spark, sf_dir)
+    raw = csv_layouts.read_layouts(spark, a.write_raw_counts(spark, sf_dir))
     return reduce(DataFrame.unionByName, [cleaning.clean_leeds(f, keep=["source_file"]) for f in raw])
 
 
@@ -186,6 +193,29 @@ def leeds_load(spark, sf_dir):
     )
 
 
+@query
+def leeds_catalogue_load(spark, sf_dir):
+    return loads.load_leeds_catalogue(
+        spark, a.count_catalogue(spark, sf_dir), a.write_raw_counts(spark, sf_dir),
+        staging_path(spark, "leeds-processed"), staging_path(spark, "leeds"), exclude=["counts-3b.csv"],
+    )
+
+
+@query
+def leeds_load_quarantine(spark, sf_dir):
+    """Rows of the table and, with their reason, those that were set apart."""
+    path = staging_path(spark, "leeds-lenient")
+    kept = loads.load_leeds(
+        spark, a.write_raw_broken(spark, sf_dir), staging_path(spark, "leeds-processed"), path, on_error="quarantine"
+    )
+    nothing = F.lit(None)
+    apart = loads.quarantined(spark, path).select(
+        *[nothing.cast(f.dataType).alias(f.name) for f in FOOTFALL], "source_file", "reason", "record"
+    )
+    text = nothing.cast("string")
+    return kept.select("*", text.alias("source_file"), text.alias("reason"), text.alias("record")).union(apart)
+
+
 @query
 def york_load(spark, sf_dir):
     return loads.load_york(
@@ -197,17 +227,17 @@ def york_load(spark, sf_dir):
 @query
 def forecast_load(spark, sf_dir):
     landed = a.landed(spark, a.forecast_docs(a.forecasts(spark, sf_dir)), "forecast-docs")
-    return loads.load_forecast(
-        spark, landed, staging_path(spark, "forecast-csv"), staging_path(spark, "forecasts"), "2001-06-01 00-00-00"
-    )
+    at = staging_path(spark, "forecast-csv"), staging_path(spark, "forecasts"), "2001-06-01 00-00-00"
+    loads.load_forecast(spark, landed, *at)
+    return loads.load_forecast(spark, landed, *at)  # a run can be repeated
 
 
 @query
 def holiday_load(spark, sf_dir):
     landed = a.landed(spark, a.holiday_docs(a.holidays(spark, sf_dir)), "holiday-docs")
-    return loads.load_holidays(
-        spark, landed, staging_path(spark, "holiday-csv"), staging_path(spark, "holidays"), "2001-06-01 00-00-00"
-    )
+    at = staging_path(spark, "holiday-csv"), staging_path(spark, "holidays"), "2001-06-01 00-00-00"
+    loads.load_holidays(spark, landed, *at)
+    return loads.load_holidays(spark, landed, *at)  # a run can be repeated
 
 
 @query
@@ -264,23 +294,23 @@ def calendar_parts(spark, sf_dir):
 
 @query
 def hourly_weather_join(spark, sf_dir):
-    return joins.with_hourly_weather(a.footfall(spark, sf_dir), a.weather(spark, sf_dir))
+    return joins.with_hourly_weather(a.footfall(spark, sf_dir), a.weather(spark, sf_dir, gaps=True))
 
 
 @query
 def rolling_selfjoin(spark, sf_dir):
-    rows, hours = a.footfall(spark, sf_dir), a.weather(spark, sf_dir)
+    rows, hours = a.footfall(spark, sf_dir), a.weather(spark, sf_dir, gaps=True)
     return joins.with_features(rows, reporting.rolling_features(rows, hours))
 
 
 @query
 def holiday_join(spark, sf_dir):
     rows = a.footfall(spark, sf_dir).withColumn("date", F.to_date("timestamp"))
-    return joins.with_holidays(rows, a.holidays(spark, sf_dir))
+    return joins.with_holidays(rows, a.holidays(spark, sf_dir, rare=True))
 
 
 def _features(spark, sf_dir):
-    return with_trailing_features(joins.with_hourly_weather(a.footfall(spark, sf_dir), a.weather(spark, sf_dir)))
+    return with_trailing_features(joins.with_hourly_weather(a.footfall(spark, sf_dir), a.weather(spark, sf_dir, gaps=True)))
 
 
 @query
@@ -296,13 +326,13 @@ def rolling_weather_24(spark, sf_dir):
 @query
 def footfall_complete_weather(spark, sf_dir):
     return reporting.footfall_complete_weather(
-        *a.cities(spark, sf_dir), a.weather(spark, sf_dir), a.holidays(spark, sf_dir)
+        *a.cities(spark, sf_dir), a.weather(spark, sf_dir, gaps=True), a.holidays(spark, sf_dir, rare=True)
     )
 
 
 def training_rows(spark, sf_dir):
     return reporting.model_input_data_daily(
-        *a.cities(spark, sf_dir), a.weather(spark, sf_dir), a.holidays(spark, sf_dir),
+        *a.cities(spark, sf_dir), a.weather(spark, sf_dir, gaps=True), a.holidays(spark, sf_dir, rare=True),
         exclude_from=a.EXCLUDE_FROM, exclude_to=a.EXCLUDE_TO,
     )
 
@@ -324,13 +354,13 @@ def trailing_level(spark, sf_dir):
 
 @query
 def weather_carry(spark, sf_dir):
-    return scoring.weather_carry(a.forecasts(spark, sf_dir), a.weather(spark, sf_dir))
+    return scoring.weather_carry(a.forecasts(spark, sf_dir, coming=True), a.weather(spark, sf_dir, gaps=True))
 
 
 def scoring_rows(spark, sf_dir):
     return scoring.scoring_input(
-        joins.footfall_complete(*a.cities(spark, sf_dir)), a.forecasts(spark, sf_dir),
-        a.weather(spark, sf_dir), a.holidays(spark, sf_dir), a.AS_OF,
+        joins.footfall_complete(*a.cities(spark, sf_dir)), a.forecasts(spark, sf_dir, coming=True),
+        a.weather(spark, sf_dir, gaps=True), a.holidays(spark, sf_dir, rare=True), a.AS_OF,
     )
 
 
@@ -344,8 +374,9 @@ def scoring_input(spark, sf_dir):
 
 def _summary(spark, sf_dir, drop_unnamed):
     headers = csv_layouts.file_headers(spark, a.write_raw_counts(spark, sf_dir))
-    frames = [csv_layouts.read_layout(spark, layout) for layout in csv_layouts.layouts(headers)]
-    return quality.file_summary(headers, csv_layouts.rows_per_source(frames), drop_unnamed)
+    found = csv_layouts.layouts(headers)
+    frames = [csv_layouts.read_layout(spark, layout) for layout in found]
+    return quality.file_summary(headers, csv_layouts.rows_per_source(found, frames), drop_unnamed)
 
 
 @query
@@ -363,6 +394,15 @@ def layout_sample(spark, sf_dir):
     return quality.layout_sample(_summary(spark, sf_dir, drop_unnamed=True))
 
 
+@query
+def layout_preview(spark, sf_dir):
+    return quality.layout_previews(csv_layout_rows(spark, sf_dir), _summary_sample(spark, sf_dir))
+
+
+def _summary_sample(spark, sf_dir):
+    return quality.layout_sample(_summary(spark, sf_dir, drop_unnamed=False))
+
+
 @query
 def hourly_profile(spark, sf_dir):
     return quality.hourly_profile(a.footfall(spark, sf_dir))
@@ -381,27 +421,64 @@ def quality_missing(spark, sf_dir):
 
 @query
 def quality_reconcile(spark, sf_dir):
-    return quality.reconcile(*_cleaned(spark, sf_dir))
+    raw = csv_layouts.read_layouts(spark, a.write_raw_counts(spark, sf_dir))
+    return quality.reconcile([cleaning.tagged_leeds(f) for f in raw])
 
 
 # ---- model ---------------------------------------------------------------------
 
 
+def _trained(spark, sf_dir):
+    rows = model.stage(spark, training_rows(spark, sf_dir))
+    return rows, model.train(rows)
+
+
+def _checked(scored: DataFrame, rows: DataFrame) -> DataFrame:
+    """What must hold for any prediction, whatever the forest: whole, and within the labels seen."""
+    seen = rows.agg(F.min(model.LABEL).alias("_low"), F.max(model.LABEL).alias("_high")).first()
+    value = F.col("predicted_footfall")
+    return scored.withColumns(
+        {
+            "prediction_is_whole": value == F.floor(value),
+            "prediction_in_range": value.between(seen["_low"], seen["_high"]),
+        }
+    ).drop("predicted_footfall")
+
+
 @query
 def train_model(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
-    stored = model.stage(spark, rows)
-    return model.predict(model.train(stored), stored)
+    rows, fitted = _trained(spark, sf_dir)
+    return _checked(model.predict(fitted, rows), rows)
 
 
 @query
 def predict(spark, sf_dir):
-    fitted = model.train(model.stage(spark, training_rows(spark, sf_dir)))
-    return model.predict(fitted, scoring_rows(spark, sf_dir))
+    rows, fitted = _trained(spark, sf_dir)
+    return _checked(model.predict(fitted, scoring_rows(spark, sf_dir)), rows)
 
 
 @query
 def model_roundtrip(spark, sf_dir):
+    """A stored model predicts what the fresh one does."""
     path = staging_path(spark, "model")
-    model.save(model.train(model.stage(spark, training_rows(spark, sf_dir))), path)
-    return model.predict(model.load(path), scoring_rows(spark, sf_dir))
+    rows, fitted = _trained(spark, sf_dir)
+    model.save(fitted, path)
+    fresh = model.predict(fitted, scoring_rows(spark, sf_dir)).withColumnRenamed("predicted_footfall", "fresh")
+    both = model.predict(model.load(spark, path), fresh)
+    return both.withColumn("same", F.col("fresh") == F.col("predicted_footfall")).drop("fresh", "predicted_footfall")
+
+
+@query
+def model_encoding(spark, sf_dir):
+    return _trained(spark, sf_dir)[1].encoding
+
+
+@query
+def model_filled(spark, sf_dir):
+    return model.filled_values(_trained(spark, sf_dir)[1]).withColumn("mean", F.round("mean", 6))
+
+
+@query
+def model_fit(spark, sf_dir):
+    """How well the forest fits rows it has not seen."""
+    return model.fit_report(model.stage(spark, training_rows(spark, sf_dir)))

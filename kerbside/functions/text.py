@@ -40,6 +40,14 @@ def _or_fail(source: Column, parsed: Column, what: str, on_error: str) -> Column
     return F.when(source.isNotNull(), F.coalesce(parsed, F.raise_error(message)))
 
 
+def whole_number(value: Column, on_error: str = "fail") -> Column:
+    """Count text such as ``12`` or ``12.0`` as a whole number; fractions and other texts are errors."""
+    text = F.trim(value.cast("string"))
+    number = text.try_cast("double")
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2**53), number.cast("bigint"))
+    return _or_fail(text, whole, "count", on_error)
+
+
 def hour_number(value: Column, on_error: str = "fail") -> Column:
     """Hour of day from ``1``, ``01``, ``01:00`` or ``1.0``; other texts and hours over 23 are errors."""
     text = F.trim(value.cast("string"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kerbside.functions.text import at_hour, blank_to_null, hour_number, parse_moment
+from kerbside.functions.text import at_hour, blank_to_null, hour_number, parse_moment, whole_number
 from kerbside.operators.columns import drop_nameless, drop_rows_with_null, with_preferred
-from kerbside.schemas import FOOTFALL, conform
+from kerbside.schemas import FOOTFALL
 
 # Names of the count and location columns, best first.
 COUNT_COLUMNS = ["ReportCount", "TotalCount", "InCount", "Count"]
@@ -27,11 +28,6 @@ def _with_keys(raw: DataFrame, counts: Sequence[str], locations: Sequence[str])
     return with_preferred(named, locations, "footfall_location")
 
 
-def whole_count(value: Column) -> Column:
-    """Count text such as ``12`` or ``12.0`` as a whole number."""
-    return value.cast("double").cast("bigint")
-
-
 def clean_leeds(
     raw: DataFrame,
     city: str = "Leeds",
@@ -46,7 +42,7 @@ def clean_leeds(
     Rows without an hour are daily totals and go. A null in any other column the
     layout has, used or not, drops the row as well, so this runs per layout and
     before layouts are put together. ``on_error="quarantine"`` leaves rows with an
-    unreadable hour or date out; :func:`unreadable_leeds` returns those.
+    unreadable hour, date or count out; :func:`unreadable_leeds` returns those.
     """
     lenient = "null" if on_error == "quarantine" else on_error
     df = _with_keys(raw, counts, locations)
@@ -58,31 +54,59 @@ def clean_leeds(
         drop_rows_with_null(df)
         .withColumn("timestamp", at_hour(moment, hour))
         .withColumn("city", F.lit(city))
-        .withColumn("total_footfall", whole_count(F.col("total_footfall")))
+        .withColumn("total_footfall", whole_number(F.col("total_footfall"), lenient))
     )
     if lenient == "null":
-        df = df.filter(F.col("timestamp").isNotNull())
+        df = df.filter(F.col("timestamp").isNotNull() & F.col("total_footfall").isNotNull())
     return df.select(*[f.name for f in FOOTFALL], *keep)
 
 
-def unreadable_leeds(
+def tagged_leeds(
     raw: DataFrame,
+    city: str = "Leeds",
     counts: Sequence[str] = COUNT_COLUMNS,
     locations: Sequence[str] = LOCATION_COLUMNS,
     dayfirst: bool = True,
 ) -> DataFrame:
-    """Rows whose hour or date text has no known form, with the reason."""
+    """Every raw row of a layout as ``daily``, ``null`` or ``filled``; filled ones with their cleaned values."""
     df = _with_keys(raw, counts, locations)
-    bad_hour = F.col("Hour").isNotNull() & hour_number(F.col("Hour"), "null").isNull()
-    bad_date = (
-        F.col("Hour").isNotNull()
-        & F.col("Date").isNotNull()
-        & parse_moment(F.col("Date"), dayfirst, "null").isNull()
+    gap = reduce(or_, [F.col(f"`{c}`").isNull() for c in df.columns])
+    kind = F.when(F.col("Hour").isNull(), "daily").when(gap, "null").otherwise("filled")
+    df = df.withColumn("kind", kind)
+    values = {
+        "city": F.lit(city),
+        "footfall_location": F.col("footfall_location"),
+        "timestamp": at_hour(parse_moment(F.col("Date"), dayfirst), hour_number(F.col("Hour"))),
+        "total_footfall": whole_number(F.col("total_footfall")),
+    }
+    return df.select("kind", *[F.when(F.col("kind") == "filled", v).alias(n) for n, v in values.items()])
+
+
+def unreadable_leeds(
+    raw: DataFrame,
+    counts: Sequence[str] = COUNT_COLUMNS,
+    locations: Sequence[str] = LOCATION_COLUMNS,
+    dayfirst: bool = True,
+) -> DataFrame:
+    """Rows whose hour, date or count text has no known form, with the reason.
+
+    Rows that :func:`clean_leeds` drops for a null are not among them.
+    """
+    df = drop_rows_with_null(_with_keys(raw, counts, locations))
+    reason = (
+        F.when(hour_number(F.col("Hour"), "null").isNull(), "hour")
+        .when(parse_moment(F.col("Date"), dayfirst, "null").isNull(), "date")
+        .when(whole_number(F.col("total_footfall"), "null").isNull(), "count")
     )
-    reason = F.when(bad_hour, "hour").when(bad_date, "date")
     return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
+def as_records(rows: DataFrame, reason: Column) -> DataFrame:
+    """Rows of any layout as ``(source_file, reason, record)``; the record is the row as JSON."""
+    cells = [F.col(f"`{c}`") for c in rows.columns if c not in ("source_file", "reason")]
+    return rows.select("source_file", reason.alias("reason"), F.to_json(F.struct(*cells)).alias("record"))
+
+
 def union_cleaned(frames: Iterable[DataFrame]) -> DataFrame:
     """One table from the cleaned layouts, whole-row duplicates removed.
 
@@ -92,16 +116,37 @@ def union_cleaned(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).dropDuplicates()
 
 
-def clean_york(raw: DataFrame, city: str = "York", dayfirst: bool = True, on_error: str = "fail") -> DataFrame:
-    """Clean the single-layout city: the date holds the hour, a null count means 0."""
+def clean_york(
+    raw: DataFrame, city: str = "York", dayfirst: bool = True, on_error: str = "fail", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Clean the single-layout city: the date holds the hour, a null count means 0.
+
+    ``on_error="quarantine"`` leaves out what :func:`unreadable_york` returns.
+    """
+    lenient = "null" if on_error == "quarantine" else on_error
+    df = read_missing_as_null(raw)
+    if lenient == "null":
+        df = df.filter(_york_reason(dayfirst).isNull())
     df = (
-        read_missing_as_null(raw)
-        .withColumn("city", F.lit(city))
-        .withColumn("Date", parse_moment(F.col("Date"), dayfirst, on_error))
+        df.withColumn("city", F.lit(city))
+        .withColumn("Date", parse_moment(F.col("Date"), dayfirst, lenient))
         .withColumnsRenamed(
             {"Date": "timestamp", "LocationName": "footfall_location", "InCount": "total_footfall"}
         )
-        .withColumn("total_footfall", whole_count(F.col("total_footfall")))
+        .withColumn("total_footfall", whole_number(F.col("total_footfall"), lenient))
         .na.fill(0, ["total_footfall"])
     )
-    return conform(df, FOOTFALL)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FOOTFALL], *keep)
+
+
+def _york_reason(dayfirst: bool) -> Column:
+    """Why a row can't be read; a missing date or count is no reason."""
+    bad_date = F.col("Date").isNotNull() & parse_moment(F.col("Date"), dayfirst, "null").isNull()
+    bad_count = F.col("InCount").isNotNull() & whole_number(F.col("InCount"), "null").isNull()
+    return F.when(bad_date, "date").when(bad_count, "count")
+
+
+def unreadable_york(raw: DataFrame, dayfirst: bool = True) -> DataFrame:
+    """Rows whose date or count text has no known form, with the reason."""
+    df = read_missing_as_null(raw).withColumn("reason", _york_reason(dayfirst))
+    return df.filter(F.col("reason").isNotNull())

@@ -4,29 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kerbside.operators.cleaning import read_missing_as_null
-from kerbside.operators.columns import drop_nameless
-
 
 def file_summary(headers: DataFrame, row_counts: DataFrame, drop_unnamed: bool = False) -> DataFrame:
     """Per source: sorted column names, the same joined, how many, and the number of rows.
 
     ``headers`` and ``row_counts`` come from the CSV layout reader. A source without
-    data rows counts 0.
+    data rows counts 0. Files of one name in several folders are one source if their
+    headers agree, and a row each if they don't.
     """
     names = F.col("header")
     if drop_unnamed:
         names = F.filter(names, lambda n: ~F.lower(n).contains("unnamed"))
-    sources = (
-        headers.withColumn("columns", F.array_sort(names))
-        .select("source_file", "columns")
-        .distinct()
-    )
-    return sources.join(row_counts, "source_file", "left").select(
+    sources = headers.select("source_file", "header").distinct().withColumn("columns", F.array_sort(names))
+    counted = row_counts.groupBy("source_file", "header").agg(F.sum("rows").alias("rows"))
+    counted = sources.join(counted, ["source_file", "header"], "left").groupBy("source_file", "columns").agg(F.sum("rows").alias("rows"))
+    return counted.select(
         F.col("source_file").alias("filename"),
         "columns",
         F.array_join("columns", ", ").alias("columns_str"),
@@ -55,8 +51,21 @@ def layout_sample(summary: DataFrame) -> DataFrame:
 
 
 def preview(rows: DataFrame, source_file: str, n: int = 5) -> DataFrame:
-    """First rows of one file."""
-    return rows.filter(F.col("source_file") == source_file).limit(n)
+    """The first ``n`` rows of one file, in order of all its columns, texts as they are."""
+    columns = [F.col(f"`{c}`").asc_nulls_last() for c in rows.columns]
+    return rows.filter(F.col("source_file") == source_file).orderBy(*columns).limit(n)
+
+
+def layout_previews(rows: DataFrame, sample: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of the sample file of each layout, with their place from 1.
+
+    ``rows`` has ``columns_str`` and ``source_file`` beside its own columns, ``sample``
+    is :func:`layout_sample`. Rows come in order of all their columns.
+    """
+    chosen = rows.join(sample.select("columns_str", F.col("filename").alias("source_file")), ["columns_str", "source_file"], "left_semi")
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in rows.columns if c not in ("columns_str", "source_file")]
+    place = F.row_number().over(Window.partitionBy("columns_str", "source_file").orderBy(*order))
+    return chosen.withColumn("place", place.cast("bigint")).filter(F.col("place") <= n)
 
 
 def hourly_profile(footfall: DataFrame) -> DataFrame:
@@ -80,34 +89,25 @@ def missing_values(rows: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return counts.withColumn("total_missing", total)
 
 
-def reconcile(raw_frames: Sequence[DataFrame], cleaned_frames: Sequence[DataFrame]) -> DataFrame:
+def reconcile(tagged: Sequence[DataFrame]) -> DataFrame:
     """Where each raw row went: daily totals, rows with a null, duplicates, cleaned.
 
-    ``unexplained`` is what is left over and should be 0.
+    ``tagged`` are the layouts from ``cleaning.tagged_leeds``: each raw row is read
+    once, and copies collapse before the shuffle. ``unexplained`` is what is left over
+    and should be 0.
     """
+    rows = reduce(DataFrame.unionByName, tagged)
+    keys = [c for c in rows.columns if c != "kind"]
+    copies = rows.groupBy("kind", *keys).agg(F.count(F.lit(1)).alias("_n"))
     zero = F.lit(0).cast("bigint")
-    names = ["raw_rows", "daily_totals", "null_rows", "filled_rows", "cleaned_rows"]
-
-    def tally(rows: DataFrame, **counts) -> DataFrame:
-        return rows.agg(*[counts.get(n, zero).alias(n) for n in names])
-
-    def of_raw(raw: DataFrame) -> DataFrame:
-        rows = read_missing_as_null(drop_nameless(raw))
-        no_hour = F.col("Hour").isNull()
-        gap = reduce(or_, [F.col(f"`{c}`").isNull() for c in rows.columns])
-        return tally(
-            rows,
-            raw_rows=F.count(F.lit(1)),
-            daily_totals=F.count_if(no_hour),
-            null_rows=F.count_if(~no_hour & gap),
-        )
-
-    filled = reduce(DataFrame.unionByName, cleaned_frames)
-    copies = filled.groupBy(*filled.columns).agg(F.count(F.lit(1)).alias("_n"))
-    tallies = [of_raw(raw) for raw in raw_frames]
-    tallies.append(tally(copies, filled_rows=F.sum("_n"), cleaned_rows=F.count(F.lit(1))))
-
-    sums = reduce(DataFrame.unionByName, tallies).agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in names])
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("_n"))), zero)
+    sums = copies.agg(
+        F.coalesce(F.sum("_n"), zero).alias("raw_rows"),
+        of("daily").alias("daily_totals"),
+        of("null").alias("null_rows"),
+        of("filled").alias("filled_rows"),
+        F.count_if(F.col("kind") == "filled").alias("cleaned_rows"),
+    )
     duplicates = F.col("filled_rows") - F.col("cleaned_rows")
     explained = F.col("daily_totals") + F.col("null_rows") + duplicates + F.col("cleaned_rows")
     return sums.select(

@@ -26,7 +26,8 @@ def span_of(moment: Column, span_days: int) -> Column:
 def _back_copies(spans: DataFrame) -> DataFrame:
     """Rows that frames of later spans reach, once per such span, under that span's number.
 
-    Only the last rows of each hour of day in a span can be reached from outside it.
+    Only the last rows of each hour of day in a span can be reached from outside it:
+    2,160 rows of hourly data for each span of a series at most.
     They include the last 24 of the span, as each of those has at most 23 later rows
     of any hour. That leaves at most 24 x 90 rows per span, which one window per
     series then walks in time order: the span of the row that lies a full frame ahead
@@ -62,8 +63,10 @@ def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> Dat
     Also keeps ``span``; the result is partitioned by city, location and span, so an
     aggregate whose keys include those needs no further shuffle. At hourly grain a
     span of 731 days has at most 17,544 distinct timestamps; for finer timestamps
-    choose a shorter span.
+    choose a shorter span. Rows without a location are no series: they must be set
+    apart before, as the views do, for they would meet in one task.
     """
+    hourly = hourly.filter(F.col("footfall_location").isNotNull())
     spans = (
         hourly.withColumn("hour", F.hour("timestamp"))
         .withColumn("span", span_of(F.col("timestamp"), span_days))

@@ -1,11 +1,13 @@
-"""Random forest for the daily count: fit, store, score."""
+"""Random forest for the daily count: fit, store, score, measure."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kerbside.functions.numeric import round_half_up
 from kerbside.session import staging_path
@@ -13,97 +15,137 @@ from kerbside.session import staging_path
 LABEL = "total_footfall"
 CATEGORIES = ["city", "footfall_location", "weekday", "month"]
 PREDICTION = "predicted_total_footfall"
+ENCODING = "column string, value string, mean double, n long"
 
-# Above this many values a column is encoded by its mean label, not as a category:
-# a tree needs a bin per category, and the driver holds the value list either way.
-MAX_CATEGORIES = 1_000
 
+def stage(spark: SparkSession, rows: DataFrame, path: str | None = None) -> DataFrame:
+    """Store the training rows once, at ``path`` or in the staging folder; fitting passes over them many times."""
+    path = path or staging_path(spark, "training-rows")
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
-def _category_sizes(rows: DataFrame) -> dict[str, int]:
-    counts = [F.approx_count_distinct(c, 0.01).alias(c) for c in CATEGORIES]
-    return rows.agg(*counts).first().asDict()
 
+@dataclass(frozen=True)
+class FootfallModel:
+    """The fitted stages, and the mean label of each value of each category as a table.
 
-def stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Store the training rows once; fitting passes over them many times."""
-    path = staging_path(spark, "training-rows")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    Categories are encoded in this one way whatever their number. The table stays
+    distributed: values are grouped and joined, never listed on the driver.
+    """
 
+    stages: PipelineModel
+    encoding: DataFrame
+    overall: float
+
+
+def encodings(rows: DataFrame) -> DataFrame:
+    """``(column, value, mean, n)``: the mean label of every category value, null among them."""
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in CATEGORIES])
+    return (
+        rows.select(F.inline(values), F.col(LABEL).cast("double").alias("label"))
+        .groupBy("column", "value")
+        .agg(F.avg("label").alias("mean"), F.count("label").alias("n"))
+    )
 
-def train(
-    rows: DataFrame,
-    num_trees: int = 20,
-    max_depth: int = 5,
-    seed: int = 42,
-    max_categories: int = MAX_CATEGORIES,
-) -> PipelineModel:
-    """Fit on all columns but the label. Missing measures take the column mean."""
-    numbers = [c for c in rows.columns if c not in CATEGORIES and c != LABEL]
-    sizes = _category_sizes(rows)
-    wide = [c for c in CATEGORIES if sizes[c] > max_categories]
-    narrow = [c for c in CATEGORIES if c not in wide]
 
+def _encoded(rows: DataFrame, encoding: DataFrame, overall: float) -> DataFrame:
+    """Add ``<category>_mean``; a value not seen in training has the overall mean."""
+    for column in CATEGORIES:
+        of = encoding.filter(F.col("column") == column).select(F.col("value").alias("_value"), F.col("mean").alias("_mean"))
+        rows = rows.join(of, F.col(column).cast("string").eqNullSafe(F.col("_value")), "left")
+        rows = rows.withColumn(f"{column}_mean", F.coalesce("_mean", F.lit(overall))).drop("_value", "_mean")
+    return rows
+
+
+def train(rows: DataFrame, num_trees: int = 20, max_depth: int = 5, seed: int = 42, path: str | None = None) -> FootfallModel:
+    """Fit on all columns but the label. Missing measures take the column mean.
+
+    The encoding is stored at ``path``, or in the staging folder.
+    """
+    spark = rows.sparkSession
+    numbers = [c for c in rows.columns if c not in CATEGORIES and c != LABEL]
     rows = rows.select(
         *CATEGORIES, *[F.col(c).cast("double").alias(c) for c in numbers], F.col(LABEL).cast("double").alias(LABEL)
     )
-    indexed = [f"{c}_index" for c in CATEGORIES]
-    stages = [StringIndexer(inputCols=CATEGORIES, outputCols=indexed, handleInvalid="keep")]
-    features = [f"{c}_index" for c in narrow]
-    if wide:
-        encoded = [f"{c}_mean" for c in wide]
-        stages.append(
-            TargetEncoder(
-                inputCols=[f"{c}_index" for c in wide],
-                outputCols=encoded,
-                labelCol=LABEL,
-                targetType="continuous",
-                handleInvalid="keep",
-            )
-        )
-        # an expression drops the category metadata that the encoder passes on
-        values = ", ".join(f"{c} + 0.0D AS {c}_value" for c in encoded)
-        stages.append(SQLTransformer(statement=f"SELECT *, {values} FROM __THIS__"))
-        features += [f"{c}_value" for c in encoded]
+    overall = rows.agg(F.avg(LABEL)).first()[0]
+    if overall is None:
+        raise ValueError("no training rows with a label")
+    encoding = stage(spark, encodings(rows), path or staging_path(spark, "category-means"))
     filled = [f"{c}_filled" for c in numbers]
-    stages.append(Imputer(inputCols=numbers, outputCols=filled))
-    stages.append(VectorAssembler(inputCols=features + filled, outputCol="features"))
-    # the approximate sizes may be low by a few; one more bin is for unseen values
-    bins = max([32] + [int(sizes[c] * 1.05) + 2 for c in narrow])
-    stages.append(
+    stages = [
+        Imputer(inputCols=numbers, outputCols=filled),
+        VectorAssembler(inputCols=[f"{c}_mean" for c in CATEGORIES] + filled, outputCol="features"),
         RandomForestRegressor(
             featuresCol="features",
             labelCol=LABEL,
             predictionCol=PREDICTION,
             numTrees=num_trees,
             maxDepth=max_depth,
-            maxBins=bins,
             seed=seed,
-        )
-    )
-    return Pipeline(stages=stages).fit(rows)
+        ),
+    ]
+    return FootfallModel(Pipeline(stages=stages).fit(_encoded(rows, encoding, overall)), encoding, overall)
 
 
-def save(model: PipelineModel, path: str) -> None:
+def save(model: FootfallModel, path: str) -> None:
     """Store the model, replacing the one at ``path``."""
-    model.write().overwrite().save(path)
+    model.stages.write().overwrite().save(f"{path}/stages")
+    model.encoding.write.mode("overwrite").parquet(f"{path}/encoding")
+    overall = model.encoding.sparkSession.createDataFrame([(model.overall,)], "overall double")
+    overall.coalesce(1).write.mode("overwrite").parquet(f"{path}/overall")
 
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load(spark: SparkSession, path: str) -> FootfallModel:
+    encoding = spark.read.schema(ENCODING).parquet(f"{path}/encoding")
+    overall = spark.read.schema("overall double").parquet(f"{path}/overall").first()[0]
+    return FootfallModel(PipelineModel.load(f"{path}/stages"), encoding, overall)
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict(model: FootfallModel, rows: DataFrame) -> DataFrame:
     """All input columns and ``predicted_footfall``, rounded to whole people."""
     # the imputer wants doubles; inputs come back in their own types
     inputs = rows.columns
     measures = [c for c, t in rows.dtypes if t in ("int", "bigint")]
-    scored = model.transform(
-        rows.select(
-            *[F.col(c).cast("double").alias(c) if c in measures else F.col(c) for c in inputs],
-            *[F.col(c).alias(f"_in_{c}") for c in measures],
-        )
+    own = rows.select(
+        *[F.col(c).cast("double").alias(c) if c in measures else F.col(c) for c in inputs],
+        *[F.col(c).alias(f"_in_{c}") for c in measures],
     )
+    scored = model.stages.transform(_encoded(own, model.encoding, model.overall))
     kept = [F.col(f"_in_{c}").alias(c) if c in measures else F.col(c) for c in inputs]
     scored = scored.select(*kept, PREDICTION)
     return scored.withColumn("predicted_footfall", round_half_up(F.col(PREDICTION))).drop(PREDICTION)
+
+
+def filled_values(model: FootfallModel) -> DataFrame:
+    """``(column, mean)``: what the fitted model puts where a measure is missing."""
+    imputer = next(s for s in model.stages.stages if hasattr(s, "surrogateDF"))
+    wide = imputer.surrogateDF
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("mean")) for c in wide.columns]
+    return wide.select(F.inline(F.array(*pairs)))
+
+
+def held_out() -> Column:
+    """True for about a quarter of the training rows, by a hash of their keys."""
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*CATEGORIES, "bank_holiday"]]
+    return F.crc32(F.concat_ws("|", *keys)) % 4 == 0
+
+
+def fit_report(rows: DataFrame, **options) -> DataFrame:
+    """How well a model fits rows it has not seen: one row with n, mean absolute and root mean square
+    error, the same errors of always guessing the mean, and the share of variance explained.
+
+    The model is fitted on the rows that :func:`held_out` leaves.
+    """
+    seen, unseen = rows.filter(~held_out()), rows.filter(held_out())
+    model = train(seen, **options)
+    scored = predict(model, unseen)
+    off, plain = F.col("predicted_footfall") - F.col(LABEL), F.col(LABEL) - F.lit(model.overall)
+    sums = [
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.abs(off)).alias("mean_absolute_error"),
+        F.sqrt(F.avg(off * off)).alias("root_mean_square_error"),
+        F.avg(F.abs(plain)).alias("mean_absolute_error_of_mean"),
+        F.sqrt(F.avg(plain * plain)).alias("root_mean_square_error_of_mean"),
+    ]
+    explained = 1 - F.pow(F.col("root_mean_square_error") / F.col("root_mean_square_error_of_mean"), 2)
+    return scored.agg(*sums).withColumn("explained", explained)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kerbside.functions.calendar import month_name, week_of_year, weekday_name
 from kerbside.functions.numeric import mean_of, round_half_up
 from kerbside.operators.joins import footfall_complete, with_hourly_weather
-from kerbside.operators.trailing import SERIES, SPAN_DAYS, with_trailing_features
+from kerbside.operators.trailing import SERIES, SPAN_DAYS, span_of, with_trailing_features
 
 PLAIN_MEANS = ["temp", "pressure", "humidity", "clouds", "wind"]
 RAIN_SNOW_MEANS = ["current_rain", "rain_24_hour", "current_snow", "snow_24_hour"]
@@ -32,31 +32,43 @@ def rolling_features(footfall: DataFrame, weather: DataFrame, span_days: int = S
     )
 
 
-def weighted_hours(footfall: DataFrame, weather: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
-    """Hourly rows with features and the weight each has in the views.
+def weighted_hours(footfall: DataFrame, weather: DataFrame, span_days: int = SPAN_DAYS) -> tuple[DataFrame, DataFrame]:
+    """Hourly rows with and without a location, with features and the weight each has in the views.
 
     A row without a location matches no features in the self-join, not even its own.
+    Such rows go round the windows, so they never meet in one task, however many there are.
     """
-    rows = with_trailing_features(with_hourly_weather(footfall, weather), span_days)
-    known = F.col("footfall_location").isNotNull()
+    hours = with_hourly_weather(footfall, weather)
     zero = F.lit(0.0)
-    return rows.select(
-        *SERIES,
-        "timestamp",
-        "span",
-        "total_footfall",
-        *PLAIN_MEANS,
-        F.when(known, F.col("footfall_90_day_average")).alias("rolling"),
-        F.coalesce("rain", zero).alias("current_rain"),
-        F.coalesce(F.when(known, F.col("rain_24_hour_total")), zero).alias("rain_24_hour"),
-        F.coalesce("snow", zero).alias("current_snow"),
-        F.coalesce(F.when(known, F.col("snow_24_hour_total")), zero).alias("snow_24_hour"),
-        F.when(known, F.col("copies")).otherwise(F.lit(1)).alias("weight"),
+
+    def row(rolling: Column, rain: Column, snow: Column, weight: Column) -> list[Column | str]:
+        return [
+            *SERIES,
+            "timestamp",
+            "total_footfall",
+            *PLAIN_MEANS,
+            rolling.alias("rolling"),
+            F.coalesce("rain", zero).alias("current_rain"),
+            F.coalesce(rain, zero).alias("rain_24_hour"),
+            F.coalesce("snow", zero).alias("current_snow"),
+            F.coalesce(snow, zero).alias("snow_24_hour"),
+            weight.cast("bigint").alias("weight"),
+            "span",
+        ]
+
+    known = with_trailing_features(hours, span_days).select(
+        *row(F.col("footfall_90_day_average"), F.col("rain_24_hour_total"), F.col("snow_24_hour_total"), F.col("copies"))
     )
+    nothing = F.lit(None).cast("double")
+    unknown = hours.filter(F.col("footfall_location").isNull()).withColumn("span", span_of(F.col("timestamp"), span_days))
+    return known, unknown.select(*row(nothing, nothing, nothing, F.lit(1)))
 
 
-def daily_partials(hours: DataFrame) -> DataFrame:
-    """Sums and counts per city, location and day; adds no shuffle to :func:`weighted_hours`."""
+def daily_partials(known: DataFrame, unknown: DataFrame) -> DataFrame:
+    """Sums and counts per city, location and day.
+
+    Adds no shuffle to the hours with a location; those without are summed by task first.
+    """
     weight = F.col("weight")
     aggs = [
         F.sum(F.col("total_footfall") * weight).alias("total_footfall"),
@@ -65,8 +77,11 @@ def daily_partials(hours: DataFrame) -> DataFrame:
     for name in MEANS:
         aggs.append(F.sum(F.col(name) * weight).alias(f"{name}_sum"))
         aggs.append(F.sum(F.when(F.col(name).isNotNull(), weight)).alias(f"{name}_n"))
-    daily = hours.groupBy(*SERIES, "span", F.to_date("timestamp").alias("date")).agg(*aggs)
-    return daily.drop("span")
+    by_day = [
+        hours.groupBy(*SERIES, "span", F.to_date("timestamp").alias("date")).agg(*aggs).drop("span")
+        for hours in (known, unknown)
+    ]
+    return by_day[0].union(by_day[1])
 
 
 def holiday_counts(holidays: DataFrame) -> DataFrame:
@@ -85,7 +100,7 @@ def footfall_complete_weather(
 ) -> DataFrame:
     """Daily report by city, location, day and holiday name."""
     hours = weighted_hours(footfall_complete(leeds, york), weather, span_days)
-    days = daily_partials(hours).join(holiday_counts(holidays), "date", "left")
+    days = daily_partials(*hours).join(holiday_counts(holidays), "date", "left")
     day = F.col("date")
     return days.select(
         *SERIES,
@@ -118,14 +133,14 @@ def model_input_data_daily(
     """
     hours = weighted_hours(footfall_complete(leeds, york), weather, span_days)
     low, high = (F.lit(b).cast("timestamp") for b in (exclude_from, exclude_to))
-    hours = hours.filter(~F.col("timestamp").between(low, high))
+    hours = [h.filter(~F.col("timestamp").between(low, high)) for h in hours]
 
     holiday_days = holidays.groupBy("date", F.col("name").isNotNull().alias("named")).agg(
         F.count(F.lit(1)).alias("fan_out")
     )
     if dedupe_holidays:
         holiday_days = holiday_days.filter("named").withColumn("fan_out", F.lit(1).cast("bigint"))
-    days = daily_partials(hours).join(holiday_days, "date", "left")
+    days = daily_partials(*hours).join(holiday_days, "date", "left")
 
     by = [
         *[F.col(c) for c in SERIES],

@@ -60,7 +60,7 @@ def weather_carry(forecasts: DataFrame, weather: DataFrame) -> DataFrame:
     )
     joined = days.withColumn("day", F.date_sub("date", 1)).join(observed, ["city", "day"], "left")
     # a forecast has one short run of days per city, so this window stays small
-    by_city = Window.partitionBy("city").orderBy("date")
+    by_city = Window.partitionBy("city").orderBy("date", "rain", "snow")
 
     def before(name: str) -> Column:
         seen = F.col(f"day_{name}") * F.col("repeats")

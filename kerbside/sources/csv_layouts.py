@@ -1,7 +1,8 @@
 """Many CSV files whose headers differ.
 
 One read over mixed headers would put values under the wrong names, so files are
-grouped by their ordered header and each group is read with its own schema.
+grouped by their ordered header and each group is read with its own schema. Files
+are opened by Spark's own readers only, so one client and its settings serve all.
 """
 
 from __future__ import annotations
@@ -10,16 +11,17 @@ import csv
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from urllib.parse import quote
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from kerbside.sources.tables import CSV_OPTIONS
+from kerbside.session import ship_package
+from kerbside.sources.catalogue import EXCLUDED_SOURCES
+from kerbside.sources.tables import CSV_OPTIONS, CSV_STRICT
 
-_CHUNK = 64 * 1024
+# Rows whose cells don't match the header, where they are wanted and not an error.
+MALFORMED = "_malformed"
 
 
 def source_name(path: Column) -> Column:
@@ -28,23 +30,6 @@ def source_name(path: Column) -> Column:
     return F.coalesce(folder, F.element_at(F.split(path, "/"), -1))
 
 
-def _first_line(path: str) -> str:
-    """First line of a file; reads no further than the line end."""
-    if path.startswith("file:"):
-        filesystem, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    else:
-        uri = quote(path.replace("s3a://", "s3://", 1), safe=":/@")
-        filesystem, inner = fs.FileSystem.from_uri(uri)
-    head = b""
-    with filesystem.open_input_stream(inner) as stream:
-        while b"\n" not in head:
-            piece = stream.read(_CHUNK)
-            if not piece:
-                break
-            head += piece
-    return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-
-
 def column_names(header: Sequence[str]) -> list[str]:
     """Column names of a header: blanks become ``Unnamed: i``, repeats get a suffix."""
     names: list[str] = []
@@ -57,49 +42,80 @@ def column_names(header: Sequence[str]) -> list[str]:
     return names
 
 
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _plain_path() -> Column:
+    """The path of the file a row is from; the metadata percent-encode it, but a plus stands for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _parse_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [next(csv.reader([_first_line(p)]), []) for p in batch["path"]]
-        yield pd.DataFrame({"path": batch["path"], "header": [column_names(r) for r in rows]})
+        cells = [next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")]), []) for line in batch["line"]]
+        yield batch.drop(columns="line").assign(header=[column_names(row) for row in cells])
 
 
-def file_headers(spark: SparkSession, root: str, exclude: Sequence[str] = ()) -> DataFrame:
+def file_headers(
+    spark: SparkSession,
+    root: str,
+    exclude: Sequence[str] = EXCLUDED_SOURCES,
+    names: DataFrame | None = None,
+) -> DataFrame:
     """``(path, source_file, header)`` of every CSV file under ``root``.
 
-    The listing reads no file content; tasks then open each file just far enough
-    for its first line.
+    The first line of each file, from one text scan; lines meet by their number
+    within the first block of a file, before any shuffle. ``exclude`` leaves sources out;
+    ``names``, a frame with ``file_name``, keeps only those it lists. A header with a
+    line break inside quotes is an error.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select("path")
+    ship_package(spark)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
+    lines = lines.select("value", F.col("_metadata.file_block_start").alias("block"), _plain_path().alias("path"))
+    first = (
+        lines.filter(F.col("block") == 0)
+        .withColumn("number", F.monotonically_increasing_id())  # grows along a file's block
+        .groupBy("path")
+        .agg(F.min_by("value", "number").alias("line"))
+        .withColumn("source_file", source_name(F.col("path")))
     )
-    headers = listing.mapInPandas(_read_headers, "path string, header array<string>")
-    headers = headers.withColumn("source_file", source_name(F.col("path")))
     if exclude:
-        headers = headers.filter(~F.col("source_file").isin(list(exclude)))
-    return headers.select("path", "source_file", "header")
+        first = first.filter(~F.col("source_file").isin(list(exclude)))
+    if names is not None:
+        first = first.join(names.select(F.col("file_name").alias("source_file")).distinct(), "source_file", "left_semi")
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
+    torn = F.raise_error(F.concat(F.lit("a header goes over several lines: "), F.col("path")))
+    first = first.withColumn("line", F.when(quotes % 2 == 0, F.col("line")).otherwise(torn.cast("string")))
+    schema = "path string, source_file string, header array<string>"
+    return first.select("path", "source_file", "line").mapInPandas(_parse_headers, schema)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Files that share one ordered header."""
+    """Files that share one ordered header: single files, and folders whose files all do."""
 
     header: tuple[str, ...]
     paths: tuple[str, ...]
 
 
-def layouts(headers: DataFrame) -> list[Layout]:
+def layouts(headers: DataFrame, all_headers: DataFrame | None = None) -> list[Layout]:
     """Group files by header.
 
-    The driver gets file names and headers only, the same order of size as the
-    file index Spark keeps there for any scan.
+    The driver gets a folder's name once for each header in it. If a folder has one
+    header, its files are read by a pattern, however many they are; only folders of
+    mixed files, or with files left out, give their file names. ``all_headers`` is the
+    frame before files were left out.
     """
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    everything = (headers if all_headers is None else all_headers).withColumn("folder", folder)
+    whole = everything.groupBy("folder").agg(F.count_distinct("header").alias("kinds"), F.count(F.lit(1)).alias("files"))
+    own = headers.withColumn("folder", folder).groupBy("folder", "header").agg(F.count(F.lit(1)).alias("own"))
+    uniform = own.join(whole, "folder").filter((F.col("kinds") == 1) & (F.col("own") == F.col("files")))
+    mixed = headers.withColumn("folder", folder).join(uniform.select("folder"), "folder", "left_anti")
+    told = uniform.select("header", F.col("folder").alias("path"), F.lit(True).alias("pattern")).union(
+        mixed.select("header", "path", F.lit(False))
+    )
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.select("path", "header").toLocalIterator(prefetchPartitions=True):
-        groups.setdefault(tuple(row["header"]), []).append(row["path"])
+    for row in told.toLocalIterator(prefetchPartitions=True):
+        path = _as_literal(row["path"])
+        groups.setdefault(tuple(row["header"]), []).append(f"{path}/*.csv" if row["pattern"] else path)
     return [Layout(h, tuple(sorted(p))) for h, p in sorted(groups.items())]
 
 
@@ -108,23 +124,40 @@ def _as_literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def read_layout(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Rows of one layout, all columns as text, plus ``source_file``."""
-    schema = StructType([StructField(name, StringType()) for name in layout.header])
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv([_as_literal(p) for p in layout.paths])
-    # the metadata path is percent-encoded, except that a plus stands for itself
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return rows.select("*", source_name(path).alias("source_file"))
-
+def read_layout(spark: SparkSession, layout: Layout, malformed: bool = False) -> DataFrame:
+    """Rows of one layout, all columns as text, plus ``source_file``.
 
-def read_layouts(spark: SparkSession, root: str, exclude: Sequence[str] = ()) -> list[DataFrame]:
+    A row with more or fewer cells than the header is an error, or, with
+    ``malformed``, its line is kept in that column and null for all other rows.
+    """
+    schema = StructType([StructField(name, StringType()) for name in layout.header])
+    options = CSV_STRICT
+    if malformed:
+        schema = schema.add(MALFORMED, StringType())
+        options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+    rows = spark.read.schema(schema).options(**options).csv(list(layout.paths))
+    return rows.select("*", source_name(_plain_path()).alias("source_file"))
+
+
+def read_layouts(
+    spark: SparkSession,
+    root: str,
+    exclude: Sequence[str] = EXCLUDED_SOURCES,
+    names: DataFrame | None = None,
+    malformed: bool = False,
+) -> list[DataFrame]:
     """One frame per layout found under ``root``."""
-    return [read_layout(spark, layout) for layout in layouts(file_headers(spark, root, exclude))]
+    headers = file_headers(spark, root, exclude, names)
+    found = layouts(headers, file_headers(spark, root, ()))
+    return [read_layout(spark, layout, malformed) for layout in found]
 
 
-def rows_per_source(frames: Iterable[DataFrame]) -> DataFrame:
-    """``(source_file, rows)`` over all layouts; only the file name leaves the scan."""
-    counts = [f.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")) for f in frames]
+def rows_per_source(found: Iterable[Layout], frames: Iterable[DataFrame]) -> DataFrame:
+    """``(source_file, header, rows)`` over all layouts; only the file name leaves the scan."""
+    counts = [
+        frame.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")).withColumn("header", F.array(*map(F.lit, layout.header)))
+        for layout, frame in zip(found, frames)
+    ]
     union = counts[0]
     for more in counts[1:]:
         union = union.unionByName(more)

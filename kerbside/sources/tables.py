@@ -8,25 +8,28 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from kerbside.schemas import conform
 
 # Quotes are doubled inside quoted text, and blanks at the ends of a text are kept.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-
-
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+# A row with more or fewer cells than the header, or with a cell that does not fit its
+# type, is an error. Cells are only counted if the parser sees all of them.
+CSV_STRICT = {**CSV_OPTIONS, "mode": "FAILFAST", "columnPruning": "false"}
 
 
 def write_table(df: DataFrame, path: str, schema: StructType) -> None:
-    """Replace the table at ``path``, with the declared columns and types."""
+    """Replace the files at ``path``, with the declared columns and types.
+
+    For tables nobody reads meanwhile; :class:`VersionedTable` swaps whole versions.
+    """
     conform(df, schema).hint("rebalance").write.mode("overwrite").parquet(path)
 
 
@@ -34,70 +37,126 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-class VersionedTable:
-    """A table replaced as a whole, also by a query that reads it.
+class ConcurrentUpdateError(RuntimeError):
+    """Somebody else has committed since this writer read the table."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The last commit and the version of each part as of it."""
+
+    seq: int
+    parts: dict[str, str]
 
-    Each replacement goes to a new version folder. A version counts once Spark has
-    committed it (its ``_SUCCESS`` marker), so a job that dies leaves the current
-    version as it was, and running readers keep their files.
+
+class _Versions:
+    """The parts of a table, each in the version that the last commit about it names.
+
+    Data go to a folder of their own below ``data``; a small table below ``commits``
+    then names the parts it replaces. Readers see a version only once it is named, so
+    a job that dies leaves the table as it was, and running readers keep their files.
+
+    A writer that has read the table through this object expects to find it as it
+    was: if another commit has come between, the write fails and changes nothing.
+    Of two commits at the same moment the first by its writer's name counts, and the
+    other fails when it looks.
     """
 
+    LOG = "seq long, writer string, part string, version string"
+
     def __init__(self, spark: SparkSession, root: str, schema: StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self._seen: int | None = None
+
+    def _log(self) -> DataFrame:
+        empty = self.spark.createDataFrame([], self.LOG)
+        try:
+            rows = self.spark.read.schema(self.LOG).parquet(f"{self.root}/commits")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty
+        first = rows.groupBy("seq").agg(F.min("writer").alias("writer"))
+        return rows.join(first, ["seq", "writer"], "left_semi")
+
+    def snapshot(self) -> Snapshot:
+        """One row for each part comes to the driver, as folders do in any file index."""
+        last = self._log().groupBy("part").agg(F.max("seq").alias("seq"), F.max_by("version", "seq").alias("version"))
+        rows = last.collect()
+        return Snapshot(max((r["seq"] for r in rows), default=0), {r["part"]: r["version"] for r in rows})
+
+    def _read_snapshot(self) -> Snapshot:
+        told = self.snapshot()
+        self._seen = told.seq
+        return told
+
+    def _new_version(self) -> tuple[str, int]:
+        """A folder name for new data, and the commit they build on."""
+        base = self.snapshot().seq if self._seen is None else self._seen
+        return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}", base
+
+    def _commit(self, base: int, version: str, parts: list[str]) -> None:
+        self._seen = None
+        if self.snapshot().seq != base:
+            raise ConcurrentUpdateError(f"{self.root} has changed since it was read")
+        writer, seq = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}", base + 1
+        rows = self.spark.createDataFrame([(seq, writer, p, version) for p in parts], self.LOG)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        if self._log().filter((F.col("seq") == seq) & (F.col("writer") == writer)).isEmpty():
+            raise ConcurrentUpdateError(f"{self.root} was changed at the same moment")
+
+    def _empty(self, version: str) -> None:
+        """Give back the space of a version that no part uses any more."""
+        self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.root}/data/{version}")
+
+
+class VersionedTable(_Versions):
+    """A table replaced as a whole, also by a query that reads it."""
 
     def versions(self) -> list[str]:
-        filesystem, root = _filesystem(self.spark, self.root)
-        if not filesystem.exists(root):
-            return []
-        path_class = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [s.getPath().getName() for s in filesystem.listStatus(root) if s.isDirectory()]
-        return sorted(n for n in names if filesystem.exists(path_class(f"{self.root}/{n}/_SUCCESS")))
+        return [r["version"] for r in self._log().orderBy("seq").collect()]
 
     def read(self) -> DataFrame:
-        found = self.versions()
-        if not found:
+        parts = self._read_snapshot().parts
+        if not parts:
             raise FileNotFoundError(f"no committed version under {self.root}")
-        return read_table(self.spark, f"{self.root}/{found[-1]}", self.schema)
+        return read_table(self.spark, f"{self.root}/data/{parts['']}", self.schema)
 
     def replace(self, df: DataFrame) -> None:
-        version = f"v{time.time_ns():020d}"
-        conform(df, self.schema).hint("rebalance").write.mode("error").parquet(f"{self.root}/{version}")
+        version, base = self._new_version()
+        conform(df, self.schema).hint("rebalance").write.mode("error").parquet(f"{self.root}/data/{version}")
+        self._commit(base, version, [""])
 
     def drop_superseded(self, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` versions."""
-        filesystem, _ = _filesystem(self.spark, self.root)
-        path_class = self.spark._jvm.org.apache.hadoop.fs.Path
-        for name in self.versions()[: -max(keep, 1)]:
-            filesystem.delete(path_class(f"{self.root}/{name}"), True)
+        """Empty all but the newest ``keep`` versions."""
+        for version in self.versions()[: -max(keep, 1)]:
+            self._empty(version)
 
 
-class PeriodTable:
-    """A table with a ``date`` column kept in one folder per month, or other ``unit`` of ``date_trunc``.
+class PeriodTable(_Versions):
+    """A table with a ``date`` column kept by month, or other ``unit`` of ``date_trunc``.
 
     Days are replaced one by one whatever the unit; it only sets how much is rewritten
-    around them. Small hourly tables do well with months, large ones with days.
+    around them. Small hourly tables do well with months, large ones with days. Each
+    period has its own current version; a write makes new ones for the periods it
+    touches and swaps them in together.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType, unit: str = "month"):
-        self.spark, self.root, self.schema, self.unit = spark, root, schema, unit
+        super().__init__(spark, root, schema)
+        self.unit = unit
 
     def _period(self, moment: Column) -> Column:
         return F.to_date(F.date_trunc(self.unit, moment))
 
-    def _folders(self) -> list[str]:
-        filesystem, root = _filesystem(self.spark, self.root)
-        if not filesystem.exists(root):
-            return []
-        names = [s.getPath().getName() for s in filesystem.listStatus(root)]
-        return sorted(n for n in names if n.startswith("period="))
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        if not folders:
+    def _read(self, parts: dict[str, str]) -> DataFrame:
+        if not parts:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{n}" for n in folders])
+        paths = [f"{self.root}/data/{version}/period={period}" for period, version in sorted(parts.items())]
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def read(self) -> DataFrame:
-        return self._read(self._folders())
+        return self._read(self._read_snapshot().parts)
 
     def read_periods(self, start: dt.date | str, end: dt.date | str) -> DataFrame:
         """All rows of the periods that ``start <= day < end`` touches; other folders are not even listed."""
@@ -105,32 +164,37 @@ class PeriodTable:
             self._period(F.lit(str(start)).cast("timestamp")).cast("string"), F.lit(str(end))
         )
         low, high = bounds.first()
-        return self._read([n for n in self._folders() if f"period={low}" <= n < f"period={high}"])
+        return self._read({p: v for p, v in self._read_snapshot().parts.items() if low <= p < high})
 
     def write_periods(self, df: DataFrame) -> None:
-        """Write ``df`` as the whole content of the periods it has rows of."""
-        rows = conform(df, self.schema).withColumn("period", self._period(F.col("date")))
-        (
-            rows.hint("rebalance", F.col("period"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("period")
-            .parquet(self.root)
-        )
+        """Make ``df`` the whole content of the periods it has rows of. A row without a date is an error."""
+        version, base = self._new_version()
+        path = f"{self.root}/data/{version}"
+        period = F.coalesce(self._period(F.col("date")), F.raise_error(F.lit("a row without a date")).cast("date"))
+        rows = conform(df, self.schema).withColumn("period", period)
+        rows.hint("rebalance", F.col("period")).write.mode("error").partitionBy("period").parquet(path)
+        written = self.spark.read.schema(StructType([*self.schema, StructField("period", StringType())])).parquet(path)
+        parts = [r["period"] for r in written.select("period").distinct().collect()]
+        if parts:
+            self._commit(base, version, parts)
 
     def replace_days(self, df: DataFrame, start: dt.date | str, end: dt.date | str) -> None:
-        """Replace each day that ``df`` has rows of, all within ``start <= date < end``."""
-        day = F.to_date("date").alias("_day")
-        days = df.select(day).distinct()
+        """Replace each day that ``df`` has rows of. A row outside ``start <= date < end`` is an error."""
+        low, high = (F.lit(str(b)).cast("timestamp") for b in (start, end))
+        moment = F.col("date").cast("timestamp")
+        outside = F.raise_error(F.concat(F.lit(f"not in {start} to {end}: "), F.coalesce(F.col("date").cast("string"), F.lit("null"))))
+        fresh = conform(df.withColumn("date", F.when((moment >= low) & (moment < high), moment).otherwise(outside.cast("timestamp"))), self.schema)
+        days = fresh.select(F.to_date("date").alias("_day")).distinct()
         kept = self.read_periods(start, end).withColumn("_day", F.to_date("date")).join(days, "_day", "left_anti")
-        self.write_periods(conform(df, self.schema).union(kept.select(self.schema.names)))
+        self.write_periods(fresh.union(kept.select(self.schema.names)))
 
 
 def write_csv_by_source(df: DataFrame, root: str) -> None:
-    """CSV with a header, one folder per ``source_file``."""
+    """CSV with a header, one folder per ``source_file``; other sources' files stay."""
     (
         df.hint("rebalance", F.col("source_file"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_file")
         .options(**CSV_WRITE_OPTIONS)
         .csv(root)
@@ -145,24 +209,24 @@ def land_counts(df: DataFrame, raw_root: str, processed_root: str, raw: bool) ->
 
 
 def write_csv_run(df: DataFrame, root: str, run_ts: str) -> str:
-    """CSV of one run, under its own ``run_ts=`` folder."""
+    """CSV of one run, under its own ``run_ts=`` folder; a repeated run replaces its own files."""
     path = f"{root}/run_ts={run_ts}"
-    df.hint("rebalance").write.mode("error").options(**CSV_WRITE_OPTIONS).csv(path)
+    df.hint("rebalance").write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Rows written by the CSV sinks, in their declared types."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Rows written by the CSV sinks, in their declared types; also texts with line breaks."""
+    return spark.read.schema(schema).options(**CSV_STRICT, multiLine="true").csv(path)
 
 
 def land_json_run(docs: DataFrame, root: str, run_ts: str) -> str:
-    """Raw responses of one run as JSON lines, under its own ``run_ts=`` folder.
+    """Raw responses of one run as JSON lines, under its own ``run_ts=`` folder; a repeated run replaces them.
 
     Line breaks in a JSON text can only be layout, so they become blanks.
     """
     path = f"{root}/run_ts={run_ts}"
-    docs.select(F.regexp_replace("body", r"[\r\n]+", " ").alias("value")).write.mode("error").text(path)
+    docs.select(F.regexp_replace("body", r"[\r\n]+", " ").alias("value")).write.mode("overwrite").text(path)
     return path
 
 

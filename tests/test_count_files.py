@@ -2,6 +2,9 @@
 
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,12 +38,100 @@ EXCLUDE = ["skip%20me.csv"]
 
 def test_headers_and_layouts(spark, raw_root):
     headers = csv_layouts.file_headers(spark, raw_root, EXCLUDE)
-    found = csv_layouts.layouts(headers)
+    found = csv_layouts.layouts(headers, csv_layouts.file_headers(spark, raw_root, ()))
     assert sorted(len(lay.paths) for lay in found) == [1, 1, 1, 1, 2]
     two = next(lay for lay in found if len(lay.paths) == 2)
     assert two.header == ("LocationName", "Date", "Hour", "TotalCount", "Unnamed: 4", "Unnamed: 5")
 
 
+def test_folders_of_one_layout_are_read_by_pattern(spark, tmp_path):
+    for folder, header, n in [("one", "A,B", 3), ("two", "A,B", 2), ("mixed", "A,B", 1)]:
+        (tmp_path / folder).mkdir()
+        for i in range(n):
+            (tmp_path / folder / f"{folder}{i}.csv").write_text(f"{header}\n1,2\n")
+    (tmp_path / "mixed" / "x.csv").write_text("C\n1\n")
+    every = csv_layouts.file_headers(spark, str(tmp_path), ())
+    found = {lay.header: lay for lay in csv_layouts.layouts(every)}
+    assert [p.removeprefix("file:").removeprefix(str(tmp_path)) for p in found[("A", "B")].paths] == ["/mixed/mixed0.csv", "/one/*.csv", "/two/*.csv"]
+    assert csv_layouts.read_layout(spark, found[("A", "B")]).count() == 6
+    some = csv_layouts.layouts(csv_layouts.file_headers(spark, str(tmp_path), ["one1.csv"]), every)
+    assert sum(csv_layouts.read_layout(spark, lay).count() for lay in some) == 6
+
+
+def test_workers_need_no_path_to_the_package(tmp_path):
+    """Started from another folder, with the repository on the driver's path only."""
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("LocationName,Date,Hour,Count\nB,02/03/23,1,4\n")
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from kerbside.sources import csv_layouts
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+print("ROWS", [f.count() for f in csv_layouts.read_layouts(spark, {str(tmp_path / 'raw')!r})])
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_ENV_LOADED")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS [1]" in done.stdout, done.stderr[-2000:]
+
+
+def test_rows_with_other_cells_fail_or_go_apart(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    lines = ["LocationName,Date,Hour,Count", "B,02/03/23,1,4", "B,02/03/23,2,5,more", "B,02/03/23,3", "B,02/03/23,4,12.7", "B,soon,5,1", ",02/03/23,6,1"]
+    (tmp_path / "raw" / "a.csv").write_text("\n".join(lines) + "\n")
+    at = [str(tmp_path / n) for n in ("raw", "done", "table")]
+    with pytest.raises(Exception):
+        loads.load_leeds(spark, *at)
+    table = loads.load_leeds(spark, *at, on_error="quarantine")
+    assert [r.total_footfall for r in table.collect()] == [4]
+    assert sorted(r.reason for r in loads.quarantined(spark, at[2]).collect()) == ["cells", "cells", "count", "date"]
+
+
+def test_fractions_are_no_counts(spark):
+    raw = spark.createDataFrame([("B", "02/03/23", "1", "12.7")], "LocationName string, Date string, Hour string, Count string")
+    with pytest.raises(Exception, match="unreadable count"):
+        cleaning.clean_leeds(raw).collect()
+    york = spark.createDataFrame([("02/03/2023 14:00", "P", "1.5"), ("soon", "P", "1"), ("02/03/2023 15:00", "P", None)], "Date string, LocationName string, InCount string")
+    with pytest.raises(Exception, match="unreadable"):
+        cleaning.clean_york(york).collect()
+    assert cleaning.clean_york(york, on_error="quarantine").count() == 1
+    assert sorted(r.reason for r in cleaning.unreadable_york(york).collect()) == ["count", "date"]
+
+
+def test_york_load_sets_bad_rows_apart(spark, tmp_path):
+    (tmp_path / "y.csv").write_text("Date,LocationName,InCount\n02/03/2023 14:00,P,1\n02/03/2023 15:00,P,x\n02/03/2023 16:00,P,1,2\n")
+    at = [str(tmp_path / n) for n in ("y.csv", "raw", "done", "table")]
+    assert loads.load_york(spark, *at, on_error="quarantine").count() == 1
+    assert sorted(r.reason for r in loads.quarantined(spark, at[3]).collect()) == ["cells", "count"]
+    with pytest.raises(Exception):
+        loads.load_york(spark, *at)
+
+
+def test_load_of_what_the_catalogue_lists(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    for name in ("My_file.csv", "Christmas_analysis.csv", "other.csv"):
+        (tmp_path / "raw" / name).write_text(f"LocationName,Date,Hour,Count\n{name},02/03/23,1,4\n")
+    url = "https://data.example/f"
+    doc = {"resources": {str(i): {"format": kind, "url": f"{url}/{name}"} for i, (kind, name) in enumerate([
+        ("csv", "My%20file.csv"), ("csv", "My%20file.csv"), ("csv", "Christmas%20analysis.csv"), ("xls", "other.csv")])}}
+    docs = spark.createDataFrame([(1, json.dumps(doc))], "doc_id long, body string")
+    at = [str(tmp_path / n) for n in ("raw", "done", "table")]
+    assert [r.footfall_location for r in loads.load_leeds_catalogue(spark, docs, *at).collect()] == ["My_file.csv"]
+    # without a catalogue the known stray file stays out by default
+    assert loads.load_leeds(spark, *at).filter("footfall_location = 'Christmas_analysis.csv'").isEmpty()
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for folder, text in [("x", "A,B\n1,2\n"), ("y", "C\n1\n2\n"), ("z", "A,B\n3,4\n5,6\n")]:
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.csv").write_text(text)
+    headers = csv_layouts.file_headers(spark, str(tmp_path), ())
+    found = csv_layouts.layouts(headers)
+    counts = csv_layouts.rows_per_source(found, [csv_layouts.read_layout(spark, lay) for lay in found])
+    summary = quality.file_summary(headers, counts)
+    assert sorted((r.filename, r.columns_str, r.rows) for r in summary.collect()) == [("a.csv", "A, B", 3), ("a.csv", "C", 2)]
+
+
 def test_repeated_names():
     assert csv_layouts.column_names(["Count", "", "count", "Count"]) == ["Count", "Unnamed: 1", "count.1", "Count.2"]
 
@@ -108,8 +199,9 @@ def test_load_keeps_blanks_and_quotes(spark, tmp_path):
 
 def test_profile(spark, raw_root):
     headers = csv_layouts.file_headers(spark, raw_root, EXCLUDE)
-    frames = [csv_layouts.read_layout(spark, lay) for lay in csv_layouts.layouts(headers)]
-    counts = csv_layouts.rows_per_source(frames)
+    found = csv_layouts.layouts(headers, csv_layouts.file_headers(spark, raw_root, ()))
+    frames = [csv_layouts.read_layout(spark, lay) for lay in found]
+    counts = csv_layouts.rows_per_source(found, frames)
     summary = quality.file_summary(headers, counts, drop_unnamed=True)
     by_name = {r.filename: r for r in summary.collect()}
     assert by_name["empty.csv"].rows == 0
@@ -121,12 +213,16 @@ def test_profile(spark, raw_root):
     sample = {r.columns_str: r.filename for r in quality.layout_sample(summary).collect()}
     assert sample["Date, Hour, LocationName, TotalCount"] == "a.csv"
     noted = next(f for f in frames if "Note" in f.columns)
-    assert quality.preview(noted, sample["Count, Date, Hour, LocationName, Note"], 1).count() == 1
+    first = quality.preview(noted, sample["Count, Date, Hour, LocationName, Note"], 1).collect()
+    assert [(r.Hour, r.LocationName, r.Note) for r in first] == [("3.0", "Head, row", "x")]
 
 
 def test_reconciliation(spark, raw_root):
-    raw, cleaned = clean_all(spark, raw_root)
-    row = quality.reconcile(raw, cleaned).first()
+    raw, _ = clean_all(spark, raw_root)
+    told = quality.reconcile([cleaning.tagged_leeds(f) for f in raw])
+    row = told.first()
+    # each layout is read once
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == len(raw)
     assert row.asDict() == {
         "raw_rows": 9, "daily_totals": 2, "null_rows": 2, "duplicates": 1, "cleaned_rows": 4, "unexplained": 0,
     }
@@ -138,6 +234,12 @@ def test_duplicates_and_missing(spark):
     assert quality.missing_values(df).first().asDict() == {"a": 0, "b": 3, "total_missing": 3}
 
 
+def test_broken_catalogue_fails(spark):
+    docs = spark.createDataFrame([(1, "{'resources': oops"), (2, '{"resources": {}}')], "doc_id long, body string")
+    with pytest.raises(Exception):
+        catalogue.csv_files(docs).collect()
+
+
 def test_catalogue(spark):
     base = "https://data.example/f"
     doc = {"resources": {
