@@ -1,4 +1,8 @@
-"""The same queries as SQL for DuckDB."""
+"""The same queries as SQL for DuckDB.
+
+Fixed values: the output names of the two views, of the scoring rows and of the trailing
+features, and the joins the views are defined by.
+"""
 
 from __future__ import annotations
 

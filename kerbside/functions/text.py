@@ -10,7 +10,7 @@ MISSING_TEXTS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# One or two digits, then a dot, a colon or the end of the text.
+# Fixed value: the hour texts accepted, one or two digits, then a dot, a colon or the end of the text.
 HOUR_PATTERN = r"^([0-9]{1,2})([.:]|$)"
 
 # A day and month with one kind of separator, then a two-digit year.

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SERIES = ["city", "footfall_location"]
 SPAN_DAYS = 731
 
+# The lengths of the two frames, in rows. The names of the three features
+# made of them (see below) are fixed too, as the views' readers know them.
 HOUR_ROWS = 24
 SAME_HOUR_ROWS = 90
 

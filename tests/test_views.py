@@ -186,6 +186,26 @@ def test_one_hot_series_is_spread_over_tasks(spark):
     assert last.footfall_90_day_average == sum((6 * 365 * 24 - 1 - 24 * k) % 97 for k in range(1, 91)) / 90
 
 
+def test_copies_and_weather_share_one_shuffle(spark, tmp_path):
+    """With no side small, each table moves once for the removal of copies and the weather join."""
+    rows = spark.range(500).select(
+        F.lit("A").alias("city"), F.lit("x").alias("footfall_location"),
+        (F.lit("2020-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("timestamp"),
+        F.col("id").alias("total_footfall"),
+    )
+    rows.write.parquet(str(tmp_path / "f"))
+    rows.select("city", F.col("timestamp").alias("date"), *[F.lit(1.0).alias(m) for m in joins.WEATHER_MEASURES]).write.parquet(str(tmp_path / "w"))
+    footfall, weather = spark.read.parquet(str(tmp_path / "f")), spark.read.parquet(str(tmp_path / "w"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = plan_of(joins.with_hourly_weather(joins.footfall_complete(footfall.filter("total_footfall % 2 = 0"), footfall), weather))
+    finally:
+        spark.conf.set(key, before)
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_rows_without_a_location_go_round_the_windows(spark):
     """Most rows have no location: no window sees them, and their days are summed by task first."""
     rows = spark.range(20_000).select(
