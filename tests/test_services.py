@@ -255,7 +255,7 @@ def test_model_fits_and_reports_it(spark):
         (100 * (F.col("id") % 20) + F.col("id") % 7).alias("total_footfall"), F.lit(1.0).alias("temp"),
     )
     report = model.fit_report(rows).first()
-    assert 80 < report.n < 220 and report.explained > 0.9
+    assert 80 < report.n < 220 and report.explained > 0.75
     assert report.mean_absolute_error < 0.4 * report.mean_absolute_error_of_mean
 
 
