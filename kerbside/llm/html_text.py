@@ -35,6 +35,14 @@ MARKED = frozenset(
     "social sponsor sponsored subscribe tagcloud toolbar topbar alert login search widget discussion respond teaser outbrain taboola "
     "notices sidebars menus footers headers promos sponsors shares toc".split()
 )
+#: Inside an article these words name its own head, as the element does.
+OWN_HEAD = frozenset(("header", "headers"))
+#: Elements whose ids are made from their headings, or name a place to link to.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p section".split())
+#: One line each: inside an article, class words of these are weighed with the lines around.
+SHORT = ANCHORED - {"section"}
+#: What is left of the ratio of a line in an element of an article whose class or id is marked.
+LOWERED = 0.7
 #: A start tag that ends an open element of these kinds, as HTML has it.
 ENDS = {
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "option": frozenset(("option",)),
@@ -44,25 +52,34 @@ WORDS = re.compile(r"[a-z]+|[0-9]+")
 SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def is_marked(attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether class, id or role name something that is no article."""
+def is_hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether the page says by role or state that an element is no article."""
     for name, value in attrs:
-        if not value:
-            continue
-        if name == "role" and value.strip().lower() in ROLES:
-            return True
-        if name in ("class", "id") and not MARKED.isdisjoint(WORDS.findall(f"{value} {SPLIT_CASE.sub(' ', value)}".lower())):
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value and value.strip().lower() in ROLES):
             return True
-        if name == "aria-hidden" and value == "true":
+    return False
+
+
+def is_marked(attrs: list[tuple[str, str | None]], tag: str = "", within: bool = False) -> bool:
+    """Whether words of class or id name something that is no article."""
+    for name, value in attrs:
+        if not value or not (name == "class" or (name == "id" and tag not in ANCHORED)):
+            continue
+        found = MARKED.intersection(WORDS.findall(f"{value} {SPLIT_CASE.sub(' ', value)}".lower()))
+        if found - OWN_HEAD if within else found:
             return True
-    return any(name == "hidden" for name, _ in attrs)
+    return False
 
 
 @dataclass
 class Node:
+    """An element; ``mark`` is the innermost marked element it is in, where that is part of an article, or -1."""
+
     tag: str
     parent: int
     outside: bool
+    within: bool = False
+    mark: int = -1
 
 
 @dataclass
@@ -75,6 +92,7 @@ class Line:
     tags: int = 0
     linked: int = 0
     text: str = ""
+    mark: int = -1
 
 
 class Lines(HTMLParser):
@@ -112,15 +130,23 @@ class Lines(HTMLParser):
             self.line.parts.append(" ")
         if tag in VOID:
             return
-        parent = self.open[-1]
-        outside = self.nodes[parent].outside or tag in OUTSIDE
-        if attrs and not outside and tag not in ("html", "body") and is_marked(attrs):
-            outside = True
+        parent, own = self.open[-1], len(self.nodes)
+        up = self.nodes[parent]
+        outside, within, mark = up.outside or tag in OUTSIDE, up.within or tag in ARTICLES, up.mark
+        if attrs and not outside and tag not in ("html", "body"):
+            if is_hidden(attrs):
+                outside = True
+            elif is_marked(attrs, tag, within):
+                if not within:
+                    outside = True
+                elif mark < 0 or tag not in SHORT:
+                    mark = own
         if tag == "header" and not outside:  # an article's own header is part of it
-            outside = not any(self.nodes[n].tag in ARTICLES for n in self.open)
-        if tag in ARTICLES and outside and not is_marked(attrs):  # what was left open before it does not cover it
+            outside = not within
+        if tag in ARTICLES and outside and not is_hidden(attrs) and not is_marked(attrs):  # what was left open before it does not cover it
             outside = any(self.nodes[n].tag in ("aside", "template", "noscript") or self.nodes[n].tag in ARTICLES for n in self.open)
-        self.nodes.append(Node(tag, parent, outside))
+            mark = -1
+        self.nodes.append(Node(tag, parent, outside, within, mark))
         self.open.append(len(self.nodes) - 1)
         self.links += tag == "a"
 
@@ -158,11 +184,14 @@ class Lines(HTMLParser):
             if not data.strip():
                 return
             node = self.open[-1]
-            line = self.line = Line(node, self.nodes[node].outside, tags=self.pending)
+            line = self.line = Line(node, self.nodes[node].outside, tags=self.pending, mark=self.nodes[node].mark)
         elif line.outside != self.nodes[self.open[-1]].outside:  # an advert inside a line
             tags = line.tags
             self._end_line()
-            self.line = line = Line(self.open[-1], self.nodes[self.open[-1]].outside, tags=tags)
+            node = self.open[-1]
+            self.line = line = Line(node, self.nodes[node].outside, tags=tags, mark=self.nodes[node].mark)
+        if data.strip():  # a line of which only a part is marked is not
+            line.mark = min(line.mark, self.nodes[self.open[-1]].mark)
         line.parts.append(data)
         if self.links:
             line.linked += len(data)
@@ -207,12 +236,14 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The article of a page; empty if there is none.
 
     A line's ratio is its characters outside links over its tags; lines in
-    elements that never hold an article count 0. Smoothed ratios fall into two
+    elements that never hold an article count 0, those in an element of an
+    article with a marked class or id count less. Smoothed ratios fall into two
     clusters, and the lines of the higher one mark the content. The content
     region is the article they lie in, or the smallest holder of nearly all of
     their text, so that short paragraphs and headings between them stay; in it,
-    every line is kept but those outside the article by their element and, where the
-    page names no article, items that are links only.
+    every line is kept but those outside the article by their element, marked elements
+    without a line in the higher cluster and, where the page names no article,
+    items that are links only.
     """
     if not html:
         return ""
@@ -220,7 +251,7 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     inside = [line for line in lines if not line.outside]
     if not inside:
         return ""
-    ratios = np.array([0 if x.outside else max(0, len(x.text) - x.linked) / max(1, x.tags) for x in lines], float)
+    ratios = np.array([0 if x.outside else max(0, len(x.text) - x.linked) / max(1, x.tags) * (LOWERED if x.mark >= 0 else 1) for x in lines], float)
     smoothed = smooth(ratios, sigma)
     border = threshold(smoothed)
     seeds = [x for x, s, r in zip(lines, smoothed, ratios, strict=True) if s >= border and r > 0] or inside
@@ -244,12 +275,31 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     member[region] = True
     for n in range(region + 1, len(nodes)):
         member[n] = member[nodes[n].parent]
-    kept = [x for x in inside if member[x.node]]
+    left_out = _left_out(lines, nodes, ratios, smoothed, border, sigma)
+    kept = [x for x in inside if member[x.node] and (x.mark < 0 or x.mark == region or x.mark not in left_out)]
     if not named:
         kept = [x for x in kept if x.linked * 10 < len(x.text) * 8 or nodes[x.node].tag not in ("a", "li", "td", "div", "span")]
     return "\n".join(x.text for x in kept)
 
 
+def _left_out(lines: list[Line], nodes: list[Node], ratios: np.ndarray, smoothed: np.ndarray, border: float, sigma: float) -> set[int]:
+    """Marked elements none of whose lines is in the higher cluster.
+
+    A heading or paragraph is weighed with the lines around it, any other
+    element by its own lines, so that what is around an advert does not keep it.
+    """
+    own: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        if line.mark >= 0 and not line.outside:
+            own.setdefault(line.mark, []).append(i)
+    out = set()
+    for mark, at in own.items():
+        values = smoothed[at] if nodes[mark].tag in SHORT else smooth(ratios[at], sigma)
+        if values.max() < border:
+            out.add(mark)
+    return out
+
+
 def _within_article(nodes: list[Node], n: int) -> bool:
     n = nodes[n].parent
     while n >= 0:

@@ -32,6 +32,33 @@ def test_advert_inside():
     assert h.main_text(f'<article><p>{LONG}</p><div class="advert">buy</div><p>End.</p></article>') == f"{LONG}\nEnd."
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        f'<section id="discussion"><h2>Discussion</h2><p>{LONG}</p><p>Short.</p></section>',
+        f'<h2 id="user-login-flow">Login</h2><p>{LONG}</p>',
+        f'<h3 id="how-to-share">How to share</h3><p id="notice">{LONG}</p>',
+        f'<div class="article-header"><h1>Title</h1></div><p>{LONG}</p>',
+        f'<div class="header">Title</div><p class="footer-like toc">{LONG}</p>',
+        f'<h2 class="menu-title">Menu</h2><p>{LONG}</p><p>a <span class="search-term">b</span> c</p>',
+        f'<div id="discussion"><h2>Discussion</h2><p>{LONG} {LONG}</p><p>Short.</p></div>',
+    ],
+)
+@pytest.mark.parametrize("holder", ["article", "main", "article class='post has-sidebar'"])
+def test_marked_words_inside_an_article_do_not_drop_its_text(holder, part):
+    import re
+
+    page = f"<body><nav>{LONG}</nav><{holder}><p>{LONG}</p>{part}<p>{LONG}</p></{holder.split()[0]}><footer>{LONG}</footer></body>"
+    want = [LONG, *(re.sub("<[^>]*>", "", x) for x in re.split("</(?:p|h.|div|section)>", part)), LONG]
+    assert h.main_text(page).split("\n") == [x for x in want if x]
+
+
+def test_short_marked_parts_of_an_article_stay_out():
+    share = '<div class="share"><a href="/">Share</a> this page</div>'
+    comments = '<section class="comments"><p>Nice.</p><p>Thanks.</p></section>'
+    assert h.main_text(f"<article><p>{LONG}</p>{share}<p>{LONG}</p>{comments}</article>") == f"{LONG}\n{LONG}"
+
+
 def test_open_menu_does_not_cover_the_article():
     assert h.main_text(f"<body><nav><ul><li><a>Home</a><article><p>{LONG}</article></body>") == LONG
 
