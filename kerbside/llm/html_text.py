@@ -243,7 +243,9 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     their text, so that short paragraphs and headings between them stay; in it,
     every line is kept but those outside the article by their element, marked elements
     without a line in the higher cluster and, where the page names no article,
-    items that are links only.
+    items that are links only, unless they are in the higher cluster or follow
+    a line of it in the same holder. Of several articles all that hold such lines are
+    the region; one that is marked itself only if all are.
     """
     if not html:
         return ""
@@ -265,20 +267,28 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
             weights[node] = weights.get(node, 0) + size
             node = nodes[node].parent
     articles = [n for n in weights if nodes[n].tag in ARTICLES and not _within_article(nodes, n)]
-    named = [n for n in articles if weights[n] * 2 >= total]
+    articles = [n for n in articles if nodes[n].mark != n] or articles
+    named = sum(weights[n] for n in articles) * 2 >= total
     if named:
-        region = max(named, key=lambda n: weights[n])
+        regions = articles
     else:
         holders = [n for n in weights if (nodes[n].tag in HOLDERS or n == 0) and weights[n] * 10 >= total * 9]
-        region = max(holders)  # nodes are numbered in page order: the last one is the innermost
+        regions = [max(holders)]  # nodes are numbered in page order: the last one is the innermost
     member = [False] * len(nodes)
-    member[region] = True
-    for n in range(region + 1, len(nodes)):
-        member[n] = member[nodes[n].parent]
+    for n in regions:
+        member[n] = True
+    for n in range(1, len(nodes)):
+        member[n] = member[n] or member[nodes[n].parent]
     left_out = _left_out(lines, nodes, ratios, smoothed, border, sigma)
-    kept = [x for x in inside if member[x.node] and (x.mark < 0 or x.mark == region or x.mark not in left_out)]
-    if not named:
-        kept = [x for x in kept if x.linked * 10 < len(x.text) * 8 or nodes[x.node].tag not in ("a", "li", "td", "div", "span")]
+    kept, held = [], set()  # holders that a line of the higher cluster was in so far
+    for line, value, ratio in zip(lines, smoothed, ratios, strict=True):
+        if line.outside or not member[line.node] or (line.mark >= 0 and line.mark not in regions and line.mark in left_out):
+            continue
+        if value >= border and ratio > 0:
+            held.add(_holder(nodes, line.node))
+        links_only = line.linked * 10 >= len(line.text) * 8 and nodes[line.node].tag in ("a", "li", "td", "div", "span")
+        if named or not links_only or value >= border or _holder(nodes, line.node) in held:
+            kept.append(line)
     return "\n".join(x.text for x in kept)
 
 
@@ -300,6 +310,13 @@ def _left_out(lines: list[Line], nodes: list[Node], ratios: np.ndarray, smoothed
     return out
 
 
+def _holder(nodes: list[Node], n: int) -> int:
+    """The innermost element around a line that can hold an article; a table's cells stand for the table's."""
+    while n > 0 and (nodes[n].tag not in HOLDERS or nodes[n].tag == "td"):
+        n = nodes[n].parent
+    return n
+
+
 def _within_article(nodes: list[Node], n: int) -> bool:
     n = nodes[n].parent
     while n >= 0:

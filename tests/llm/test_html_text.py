@@ -59,6 +59,23 @@ def test_short_marked_parts_of_an_article_stay_out():
     assert h.main_text(f"<article><p>{LONG}</p>{share}<p>{LONG}</p>{comments}</article>") == f"{LONG}\n{LONG}"
 
 
+def test_linked_sources_of_a_page_without_an_article_stay():
+    sources = "".join(f'<li><a href="/{i}">Source number {i}</a></li>' for i in range(6))
+    cells = '<table><tr><td><a href="/t">A linked cell</a></td><td>7</td></tr></table>'
+    menu = '<div><ul><li><a href="/">Home page</a></li><li><a href="/n">News page</a></li></ul></div>'
+    page = f'<body>{menu}<div class="story"><p>{LONG}</p>{cells}<p>{LONG}</p><h2>Sources</h2><ul>{sources}</ul></div>{menu}</body>'
+    want = [LONG, "A linked cell", "7", LONG, "Sources", *(f"Source number {i}" for i in range(6))]
+    assert h.main_text(page).split("\n") == want
+    assert h.main_text(f"<body>{menu}<p>{LONG}</p><p>{LONG}</p></body>") == f"{LONG}\n{LONG}"
+
+
+def test_all_articles_with_content_stay():
+    page = "<body>" + "".join(f"<article><h2>Part {i}</h2><p>{LONG}</p><p>{LONG}</p></article>" for i in range(3)) + "</body>"
+    assert h.main_text(page).count(LONG) == 6
+    unequal = f"<body><article>{ARTICLE * 3}</article><article>{ARTICLE}</article><article class='comment'><p>{LONG}</p></article></body>"
+    assert h.main_text(unequal) == "\n".join([WANT] * 4)
+
+
 def test_open_menu_does_not_cover_the_article():
     assert h.main_text(f"<body><nav><ul><li><a>Home</a><article><p>{LONG}</article></body>") == LONG
 
