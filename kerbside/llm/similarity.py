@@ -22,7 +22,8 @@ from kerbside.session import ship_package
 class Plan:
     """``shingle`` words make a token and ``similar`` is the least Jaccard similarity of a link.
 
-    ``recall`` is what the repeated runs aim at. A bucket of up to ``leaf`` sets is
+    ``recall`` is the least share of such pairs found, wherever their buckets are
+    split; sketches and runs may each lose half of the rest. A bucket of up to ``leaf`` sets is
     compared by brute force; a larger one is split on up to ``depth`` more
     tokens, then in blocks. ``rows`` and ``tokens`` bound a block of the exact comparison.
     """
@@ -38,14 +39,22 @@ class Plan:
 
     @property
     def runs(self) -> int:
-        """A run keeps a pair if it shares the first sampled token and one of two later ones."""
-        once = self.similar * (1 - (1 - self.similar) ** 2)
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - once))
+        """A run keeps a pair if it shares the first sampled token and, at each of ``depth`` splits, one of two others."""
+        once = self.similar * (1 - (1 - self.similar) ** 2) ** self.depth
+        runs = math.ceil(math.log((1 - self.recall) / 2) / math.log(1 - once))
+        if runs > SKETCH:
+            raise ValueError(f"{runs} runs are more than the {SKETCH} places of a sketch: take a smaller depth or recall")
+        return runs
 
     @property
     def least_equal(self) -> int:
-        """Equal places of two sketches from which a pair is a candidate: five standard errors below ``similar``."""
-        return math.floor(SKETCH * self.similar - 5 * math.sqrt(SKETCH * self.similar * (1 - self.similar)))
+        """Equal places of two sketches from which a pair is a candidate: the most that lose no more than their share."""
+        least, lost = 0, 0.0
+        while True:
+            lost += math.comb(SKETCH, least) * self.similar**least * (1 - self.similar) ** (SKETCH - least)
+            if lost > (1 - self.recall) / 2:
+                return least
+            least += 1
 
 
 #: Places of a sketch; each holds the least token under one hash.
@@ -209,7 +218,7 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
 
     A run begins with a path of one sampled token: sets go to the bucket of what
     their sketch has in one place. A bucket that is too large is split again,
-    by two places that depend on its path; sets meet there if they share what
+    by two different places that depend on its path; sets meet there if they share what
     is sampled. A bucket that stays too large after ``depth`` splits holds sets
     that are all alike: it is cut into blocks and every pair of blocks compared,
     so no limit drops a pair. ``sets`` has set_id and sketch.
@@ -232,8 +241,9 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
             leaves.append(pairs.select("set_id", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key")))
             break
         split = []
-        for sample in range(2):
-            place = F.pmod(F.xxhash64("key", F.lit(sample), F.lit(plan.seed)), F.lit(SKETCH)).cast("int")
+        one = F.pmod(F.xxhash64("key", F.lit(0), F.lit(plan.seed)), F.lit(SKETCH)).cast("int")
+        other = (one + 1 + F.pmod(F.xxhash64("key", F.lit(1), F.lit(plan.seed)), F.lit(SKETCH - 1)).cast("int")) % SKETCH
+        for place in (one, other):
             split.append(F.xxhash64("key", place, _place(place)))
         level = large.join(sets.select("set_id", "sketch"), "set_id").select("set_id", F.explode(F.array(*split)).alias("key")).distinct()
     met = leaves[0]

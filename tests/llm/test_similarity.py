@@ -75,6 +75,21 @@ def test_tokens_depend_on_words_alone():
     assert s.Plan().runs >= 9 and 60 < s.Plan().least_equal < 0.8 * s.SKETCH
 
 
+@pytest.mark.parametrize("plan", [s.Plan(), s.Plan(depth=0), s.Plan(depth=5), s.Plan(similar=0.7), s.Plan(recall=0.99)])
+def test_recall_holds_in_buckets_that_are_split(plan):
+    from math import comb
+
+    p = plan.similar
+    sketches = sum(comb(s.SKETCH, k) * p**k * (1 - p) ** (s.SKETCH - k) for k in range(plan.least_equal))
+    paths = (1 - p * (1 - (1 - p) ** 2) ** plan.depth) ** plan.runs
+    assert sketches + paths <= 1 - plan.recall
+
+
+def test_too_many_runs_are_refused():
+    with pytest.raises(ValueError, match="places of a sketch"):
+        _ = s.Plan(similar=0.3).runs
+
+
 def test_connected(spark):
     rng = random.Random(4)
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 200) for i in range(50)] + [(300, 301), (302, 301), (5, 5)]
