@@ -253,16 +253,17 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
     return map_groups(met, ["key"], _bucket(plan.least_equal), "a long, b long").distinct()
 
 
-def connected(links: DataFrame, name: str) -> DataFrame:
+def connected(links: DataFrame, name: str, turns: int = 100) -> DataFrame:
     """node and root, the least node of its component, for every node with a link.
 
     Alternating stars: every node passes the least node it knows to its larger
     neighbours, then to its smaller ones, until nothing changes. Least nodes are
-    found by aggregation, so a node with many links is no task of its own.
+    found by aggregation, so a node with many links is no task of its own. If
+    it has not settled after ``turns``, it fails.
     """
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     told = _told(edges)
-    for turn in range(100):
+    for turn in range(turns):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -272,6 +273,8 @@ def connected(links: DataFrame, name: str) -> DataFrame:
         before, told = told, _told(edges)
         if told == before:
             break
+    else:
+        raise RuntimeError(f"components of {name} have not settled after {turns} turns")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
@@ -328,17 +331,19 @@ def families(documents: DataFrame, sets: DataFrame, roots: DataFrame, plan: Plan
     A family goes to one group, or, if it exceeds ``plan.rows`` or
     ``plan.tokens``, to one for each pair of its blocks.
     """
-    members = roots.select(F.col("node").alias("set_id"), "root").join(sets.select("set_id", "n", "doc_id", "docs"), "set_id")
+    members = roots.select(F.col("node").alias("set_id"), "root").join(sets.select("set_id", "n", "doc_id", "text_hash", "docs"), "set_id")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / plan.rows, F.sum("n") / plan.tokens)).cast("int")
     members = members.join(members.groupBy("root").agg(blocks.alias("blocks")), "root")
-    wanted = members.select(F.col("doc_id").alias("__doc_id"), "set_id", "root", "docs", "blocks")
-    texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id"))).drop("doc_id", "__doc_id")
+    wanted = members.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), "set_id", "root", "docs", "blocks")
+    texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    # by both, as an id may have many texts
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__hash")))
 
     def start():
         def row(text, set_id, root, docs, blocks):
             tokens = shingles(text, plan.shingle)
             own = _signed(_mix(tokens).sum(dtype=_U))
-            return [(set_id, root, docs, blocks, tokens.tobytes())] if own == set_id else []  # an id may have several texts
+            return [(set_id, root, docs, blocks, tokens.tobytes())] if own == set_id else []  # texts of one hash may differ
 
         return row
 
@@ -378,8 +383,10 @@ def join(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """
     told = fingerprints(documents, plan)
     sets = told.where("n > 0").groupBy("set_id", "check", "n")
-    sets = sets.agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("docs"), F.first("sketch").alias("sketch"))
-    sets = stage(sets.drop("check"), "sets")
+    own = F.struct("doc_id", "text_hash")
+    least = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), own)), F.min(own))  # a null id only if there is no other
+    sets = sets.agg(least.alias("least"), F.count(F.lit(1)).alias("docs"), F.first("sketch").alias("sketch"))
+    sets = stage(sets.select("set_id", "n", "least.doc_id", "least.text_hash", "docs", "sketch"), "sets")
     links = stage(candidates(sets, plan), "links")
     roots = stage(connected(links, "candidates"), "roots")
     linked = families(documents, sets, roots, plan)

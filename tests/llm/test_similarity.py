@@ -99,3 +99,25 @@ def test_connected(spark):
     want = {i: 0 for i in range(61)} | {i: 100 for i in [*range(100, 150), 200]} | {300: 300, 301: 300, 302: 300}
     assert out == want
     assert s.connected(links.where(F.col("a") < 0), "none").count() == 0
+
+
+def test_connected_fails_if_it_has_not_settled(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        s.connected(links, "short", turns=1)
+
+
+@pytest.mark.parametrize("doc_id", [1, None])
+def test_texts_of_one_id_do_not_meet_each_others_sets(documents, monkeypatch, doc_id):
+    fetched, plain_map = [], s.map_rows
+
+    def counting(frame, columns, *rest, **options):
+        if "set_id" in columns:
+            fetched.append(frame.count())
+        return plain_map(frame, columns, *rest, **options)
+
+    monkeypatch.setattr(s, "map_rows", counting)
+    bases = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(15)]
+    out = s.join(documents([(doc_id, text) for base in bases for text in (base, base + " end")]))
+    assert [r["n_links"] for r in out.collect()] == [1] * 30
+    assert fetched == [30]
