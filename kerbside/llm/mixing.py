@@ -17,10 +17,14 @@ PLAN = (
     "whole int, part double, cell long"
 )
 
+#: A row taken more often is dealt out in blocks.
+MOST_COPIES = 1_000
 
-def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+
+def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
     """One row for each source: source, source_no, n_docs, source_size, target.
 
+    ``totals`` has source, size (the sum of the words of some documents) and rows (their number).
     Sources in code point order, null last, take the weights in turn and share
     the sum of all sizes by weight. No target may exceed ``most`` times its
     source's size; what a capped source can't take goes to the others by weight.
@@ -28,7 +32,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     if its cap a weight lies below what is left a weight. The windows below see
     one row for each source, never documents.
     """
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    sources = totals.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("rows").alias("n_docs"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     everything = Window.partitionBy()
     by_room = Window.orderBy("room", "source_no").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,6 +100,16 @@ def _round_cell(seed: int, level: int, last: bool):
     return run
 
 
+def _several(rows: DataFrame, count: str, number: str, most: int = 1_000) -> DataFrame:
+    """Each row as often as ``count`` says, numbered from 0: blocks of ``most`` are dealt out before they are written out."""
+    spark = rows.sparkSession
+    blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / most))))
+    dealt = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("row_hash", "__block"))
+    first = F.col("__block") * most
+    last = F.least(first + most, F.col(count)) - 1
+    return dealt.withColumn(number, F.explode(F.sequence(first, last))).drop("__block")
+
+
 def mix(
     documents: DataFrame,
     weights: tuple[int, ...] = (1, 2, 3),
@@ -115,7 +129,8 @@ def mix(
     documents, dealt by a hash, so that a source with much of the data is many
     tasks. A cell leaves one open fraction at most; ``fan_in`` such residuals
     meet in a cell of the next level until each source has one cell. Draws
-    depend on the cell and the order of doc_id alone: reruns agree.
+    depend on the cell and the order of doc_id alone: reruns agree. Wholly equal
+    rows are counted first and dealt by their number, so they don't meet in one cell.
 
     Texts without words have no share and no copies. Repeated rows count
     each for itself. A null source is a source. Empty tables give no rows;
@@ -126,8 +141,13 @@ def mix(
     sized = documents.select(
         "doc_id", F.xxhash64(*(F.col(f"`{c}`") for c in sorted(documents.columns))).alias("row_hash"), "source", n_words().alias("size")
     )
-    sized = stage(sized, "mix-sizes")
-    targets = source_targets(sized, weights, most)
+    equal = sized.groupBy("doc_id", "row_hash", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+    equal = stage(equal, "mix-sizes")
+    once = equal.where("rows = 1").drop("rows").withColumn("number", F.lit(0).cast("long"))
+    sized = once.unionByName(_several(equal.where("rows > 1"), "rows", "number").drop("rows"))
+    totals = equal.select("source", (F.col("size") * F.col("rows")).alias("size"), "rows")
+    targets = source_targets(totals, weights, most)
+    own = F.xxhash64(F.lit(seed), "doc_id", "row_hash")
     cells = F.ceil(F.col("n_docs") / F.lit(cell_rows))
     expected = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.col("target") / F.col("source_size"))).otherwise(0.0)
     rows = (
@@ -135,12 +155,12 @@ def mix(
         .withColumn("expected", F.when(F.col("size") > 0, expected).otherwise(0.0))
         .withColumn("whole", F.floor("expected").cast("int"))
         .withColumn("part", F.col("expected") - F.col("whole"))
-        .withColumn("cell", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "row_hash"), cells))
+        .withColumn("cell", F.pmod(F.when(F.col("number") == 0, own).otherwise(F.xxhash64(own, "number")), cells))
         .select("doc_id", "row_hash", "source", "source_no", "size", "source_size", "target", "whole", "part", "cell")
     )
     open_part = (F.col("part") > 0) & (F.col("part") < 1)
     done = [rows.where(~open_part)]
-    top = sized.groupBy("source").count().agg(F.max("count")).first()[0] or 0
+    top = targets.agg(F.max("n_docs")).first()[0] or 0
     n_cells, level = -(-top // cell_rows), 0
     rows = rows.where(open_part)
     while True:
@@ -163,32 +183,18 @@ def mix(
 
 
 def apply_mix(documents: DataFrame, plan: DataFrame) -> DataFrame:
-    """The documents as often as the plan says; equal rows add up their copies."""
+    """The documents as often as the plan says; equal rows add up their copies.
+
+    Equal rows become one before the shuffle and are written out again in
+    blocks, so neither meets in one task.
+    """
     columns = documents.columns
-    hashed = documents.withColumn("__row_hash", F.xxhash64(*(F.col(f"`{c}`") for c in sorted(columns))))
-    wanted = (
-        plan.groupBy(F.col("doc_id").alias("__doc_id"), F.col("row_hash").alias("__row_hash"))
-        .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__copies") > 0)
-    )
-    joined = hashed.withColumnRenamed("__row_hash", "__hash").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__hash") == F.col("__row_hash"))
-    )
-    # each of n equal rows takes the n-th part of their copies, the rest falls to the first
-    number = Window.partitionBy("__doc_id", "__row_hash").orderBy(F.lit(0))
-    single = joined.where(F.col("__rows") == 1).withColumn("__own", F.col("__copies"))
-    several = (
-        joined.where(F.col("__rows") > 1)
-        .withColumn("__n", F.row_number().over(number))
-        .withColumn(
-            "__own",
-            F.floor(F.col("__copies") / F.col("__rows")) + (F.col("__n") <= F.col("__copies") % F.col("__rows")).cast("long"),
-        )
-        .drop("__n")
-    )
-    return (
-        single.unionByName(several)
-        .where(F.col("__own") > 0)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__own"))))
-        .select(*(F.col(f"`{c}`") for c in columns))
-    )
+    # a struct, so that null ids are equal and the join uses the grouping's shuffle
+    key = lambda row_hash: F.struct(F.col("doc_id").alias("doc_id"), row_hash.alias("row_hash"))
+    hashed = documents.withColumn("__key", key(F.xxhash64(*(F.col(f"`{c}`") for c in sorted(columns))))).dropDuplicates(["__key"])
+    wanted = plan.groupBy(key(F.col("row_hash")).alias("__key")).agg(F.sum("copies").alias("__copies")).where(F.col("__copies") > 0)
+    few = hashed.join(wanted.where(F.col("__copies") <= MOST_COPIES), "__key")
+    few = few.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    many = hashed.join(wanted.where(F.col("__copies") > MOST_COPIES), "__key")
+    many = _several(many.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "__copies", F.col("__key.row_hash")), "__copies", "__copy")
+    return few.select(*(F.col(f"`{c}`") for c in columns)).unionByName(many.select("row.*"))

@@ -1,5 +1,10 @@
+import os
+import tempfile
+import uuid
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.llm import mixing
 
@@ -66,3 +71,39 @@ def test_odd_rows(documents):
     assert {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == want
     empty = found.limit(0)
     assert mixing.mix(empty).count() == 0 and mixing.apply_mix(empty, mixing.mix(empty)).count() == 0
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_equal_rows_are_many_tasks(documents, doc_id):
+    found = documents([(doc_id, "a b c", "en", "s")] * 2500 + [(100 + i, "d e " * (i % 5), "en", "s") for i in range(1000)] + [(9000, "f " * 4000, "en", "t")])
+    plan = mixing.mix(found, cell_rows=50, fan_in=5)
+    got = plan.toPandas()
+    assert len(got) == 3501 and (got["doc_id"].isna().sum() if doc_id is None else (got["doc_id"] == doc_id).sum()) == 2500
+    for _, own in got.groupby("source"):
+        assert abs(own["taken"].sum() - own["target"].iloc[0]) <= own["size"].max()
+    again = mixing.mix(found.repartition(3), cell_rows=50, fan_in=5).toPandas()
+    key = lambda p: sorted(zip(p["doc_id"].fillna(-1), p["copies"], strict=True))
+    assert key(got) == key(again)
+    mixed = mixing.apply_mix(found, plan)
+    assert mixed.columns == found.columns and mixed.count() == got["copies"].sum()
+    same = F.col("doc_id").eqNullSafe(F.lit(doc_id))
+    assert mixed.where(same).count() == plan.where(same).agg(F.sum("copies")).first()[0] > mixing.MOST_COPIES
+
+
+def test_cells_of_equal_rows_are_bounded(documents, monkeypatch):
+    sizes, plain_round = [], mixing._round_cell
+    folder = tempfile.mkdtemp(prefix="run-")
+
+    def counting(*args):
+        run = plain_round(*args)
+
+        def counted(key, rows):
+            open(f"{folder}/{len(rows)}-{uuid.uuid4()}", "w").close()
+            return run(key, rows)
+
+        return counted
+
+    monkeypatch.setattr(mixing, "_round_cell", counting)
+    mixing.mix(documents([(7, "a b c", "en", "s")] * 2000 + [(8, "d " * 9000, "en", "t")]), cell_rows=100).count()
+    sizes = [int(name.split("-")[0]) for name in os.listdir(folder)]
+    assert sum(sizes) >= 2000 and max(sizes) < 300
