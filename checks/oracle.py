@@ -51,15 +51,17 @@ _FORECASTS = _forecasts("WHERE l_partkey % 2 = 0 AND l_shipdate >= DATE '2001-06
 _HOLIDAYS = _holidays("WHERE o_totalprice > 490000")
 
 ROLLING = """hourly AS (
-  SELECT f.*, w.* EXCLUDE (city, date) FROM footfall f JOIN weather w ON f."timestamp" = w.date AND f.city = w.city),
+  SELECT *, row_number() OVER (PARTITION BY footfall_location, city ORDER BY "timestamp", total_footfall, temp, pressure,
+      humidity, clouds, wind, rain NULLS FIRST, snow NULLS FIRST) AS place
+  FROM (SELECT f.*, w.* EXCLUDE (city, date) FROM footfall f JOIN weather w ON f."timestamp" = w.date AND f.city = w.city)),
 rolling AS (
-  SELECT *,
-    coalesce(avg(total_footfall) OVER (PARTITION BY footfall_location, city, hour("timestamp") ORDER BY "timestamp"
+  SELECT * EXCLUDE (place),
+    coalesce(avg(total_footfall) OVER (PARTITION BY footfall_location, city, hour("timestamp") ORDER BY place
       ROWS BETWEEN 90 PRECEDING AND 1 PRECEDING), total_footfall) AS footfall_90_day_average,
     coalesce(sum(coalesce(snow, 0)) OVER w24, snow, 0) AS snow_24_hour_total,
     coalesce(sum(coalesce(rain, 0)) OVER w24, rain, 0) AS rain_24_hour_total
   FROM hourly
-  WINDOW w24 AS (PARTITION BY footfall_location, city ORDER BY "timestamp" ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))"""
+  WINDOW w24 AS (PARTITION BY footfall_location, city ORDER BY place ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))"""
 
 
 def _round(value: str, digits: int = 0) -> str:

@@ -14,14 +14,11 @@ WEATHER_MEASURES = ["temp", "pressure", "humidity", "clouds", "wind", "rain", "s
 def footfall_complete(leeds: DataFrame, york: DataFrame) -> DataFrame:
     """Both cities below each other, by position, each without repeated rows.
 
-    Rows that occur in both inputs stay twice. Each city is dealt by city and hour, which
-    serves the removal of copies and, above the union, the join with hourly weather.
+    Rows that occur in both inputs stay twice. Both move at once, by city and hour, which
+    serves the removal of copies and the join with hourly weather after it.
     """
-    return _dealt(leeds).distinct().union(_dealt(york).distinct())
-
-
-def _dealt(rows: DataFrame) -> DataFrame:
-    return rows.repartition("city", "timestamp")
+    rows = leeds.withColumn("_of", F.lit(0)).union(york.withColumn("_of", F.lit(1)))
+    return rows.repartition("city", "timestamp").distinct().drop("_of")
 
 
 def with_hourly_weather(footfall: DataFrame, weather: DataFrame) -> DataFrame:

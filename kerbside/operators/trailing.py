@@ -1,10 +1,11 @@
 """Trailing row frames over very long series.
 
 A frame such as "the 24 rows before this one" per series would sort a whole series
-in one task. Here a series is cut into spans of time, each span is its own task
-group, and a span also gets copies of the earlier rows its frames reach back to.
-The copies are found from the rows themselves, so frames are exact however many
-empty or thin spans lie in between.
+in one task. Here a series is cut into spans of about equally many rows, each span is
+its own task group, and a span also gets copies of the earlier rows its frames reach
+back to. Which rows those are follows from a small table of counts, so rows and
+copies are made before the one shuffle that serves all frames, and frames are exact
+however many empty or thin stretches lie in between.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES = ["city", "footfall_location"]
 SPAN_DAYS = 731
+CELLS_PER_SPAN, MOST_CELL_DAYS = 32, 7
 
 # The lengths of the two frames, in rows. The names of the three features
 # made of them (see below) are fixed too, as the views' readers know them.
@@ -20,38 +22,36 @@ HOUR_ROWS = 24
 SAME_HOUR_ROWS = 90
 
 
-def span_of(moment: Column, span_days: int) -> Column:
-    """Number of the fixed-length span of days that ``moment`` falls in."""
-    return F.floor(F.unix_date(F.to_date(moment)) / F.lit(span_days)).cast("int")
+def _cell_of(moment: Column, span_days: int) -> Column:
+    """Number of the few days that ``moment`` falls in; spans are made of whole cells."""
+    days = min(MOST_CELL_DAYS, max(1, span_days // CELLS_PER_SPAN))
+    return F.floor(F.unix_date(F.to_date(moment)) / F.lit(days)).cast("int")
 
 
-def _back_copies(spans: DataFrame) -> DataFrame:
-    """Rows that frames of later spans reach, once per such span, under that span's number.
+def span_table(rows: DataFrame, span_rows: int) -> DataFrame:
+    """The span of each cell of a series, and the last span that needs its rows, by hour of day.
 
-    Only the last rows of each hour of day in a span can be reached from outside it:
-    2,160 rows of hourly data for each span of a series at most.
-    They include the last 24 of the span, as each of those has at most 23 later rows
-    of any hour. That leaves at most 24 x 90 rows per span, which one window per
-    series then walks in time order: the span of the row that lies a full frame ahead
-    is the last one the row is needed in.
+    ``rows`` has the series, ``cell`` and ``hour``; the result has one row for each cell of
+    a series: ``_own`` and the map ``_reach``. A span is closed once it has ``span_rows``
+    rows, so it holds less than those and one cell. A row is needed up to the span of the
+    last row whose frame holds it: the 24th after its cell, or the 90th of its hour.
+    The windows here sort the counts of a series, 24 for each cell.
     """
-    hour_in_span = Window.partitionBy(*SERIES, "span", "hour").orderBy(F.desc("timestamp"), F.desc("total_footfall"))
-    tails = spans.withColumn("_back", F.row_number().over(hour_in_span)).filter(F.col("_back") <= SAME_HOUR_ROWS)
-
-    series = Window.partitionBy(*SERIES).orderBy("timestamp", "total_footfall")
-    same_hour = Window.partitionBy(*SERIES, "hour").orderBy("timestamp", "total_footfall")
-    everything = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tails = tails.withColumns(
-        {
-            "_spans": F.collect_set("span").over(everything),
-            "_reach_day": F.lead("span", HOUR_ROWS).over(series),
-        }
-    ).withColumn("_reach_hour", F.lead("span", SAME_HOUR_ROWS).over(same_hour))
-    # a row with less than a full frame ahead of it is needed to the end of its series
-    last = F.array_max("_spans")
-    reach = F.greatest(F.coalesce("_reach_day", last), F.coalesce("_reach_hour", last))
-    later = F.filter("_spans", lambda s: (s > F.col("span")) & (s <= reach))
-    return tails.withColumn("span", F.explode(later)).select(spans.columns).repartition(*SERIES, "span")
+    counts = rows.groupBy(*SERIES, "cell", "hour").agg(F.count(F.lit(1)).alias("n"))
+    series, hourly = Window.partitionBy(*SERIES), Window.partitionBy(*SERIES, "hour")
+    before, after = Window.unboundedPreceding, Window.unboundedFollowing
+    counts = counts.withColumn("a", F.coalesce(F.sum("n").over(series.orderBy("cell").rangeBetween(before, -1)), F.lit(0)))
+    counts = counts.withColumn("_own", F.dense_rank().over(series.orderBy(F.floor(F.col("a") / F.lit(span_rows)))))
+    counts = counts.withColumn("m", F.max("_own").over(series.orderBy("a").rangeBetween(before, HOUR_ROWS - 1)))
+    # what the next cell's first row says of the 23 after it holds for this cell's last row
+    counts = counts.withColumn("_reach_day", F.min("m").over(series.orderBy("cell").rangeBetween(1, after)))
+    counts = counts.withColumn("a", F.coalesce(F.sum("n").over(hourly.orderBy("cell").rangeBetween(before, -1)), F.lit(0)))
+    counts = counts.withColumn("m", F.max("_own").over(hourly.orderBy("a").rangeBetween(before, SAME_HOUR_ROWS - 1)))
+    counts = counts.withColumn("_reach_hour", F.lead("m").over(hourly.orderBy("cell")))
+    # without a later cell there is nothing to reach
+    reach = F.greatest("_own", F.coalesce("_reach_day", "_own"), F.coalesce("_reach_hour", "_own"))
+    by_hour = F.map_from_entries(F.collect_list(F.struct("hour", reach)))
+    return counts.groupBy(*SERIES, "cell").agg(F.first("_own").alias("_own"), by_hour.alias("_reach"))
 
 
 def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
@@ -62,25 +62,48 @@ def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> Dat
     A first row has no frame and takes its own value. ``copies`` is the number of rows
     with the same city, location and timestamp.
 
+    Rows of a series have one order for all frames: by timestamp, count and then every
+    other column, so only rows equal in all columns are interchangeable, and one
+    of them has the same place in each frame.
+
     Also keeps ``span``; the result is partitioned by city, location and span, so an
-    aggregate whose keys include those needs no further shuffle. At hourly grain a
-    span of 731 days has at most 17,544 distinct timestamps; for finer timestamps
-    choose a shorter span. Rows without a location are no series: they must be set
-    apart before, as the views do, for they would meet in one task.
+    aggregate whose keys include those needs no further shuffle, and a day is never in
+    two spans. A span has the rows of ``span_days`` days of hours (17,544 of 731 days)
+    and less than a cell more, whatever the grain; a cell is a week at most. The table
+    of spans, a row for each cell of a series, is broadcast if Spark finds it small;
+    otherwise both sides move by series and cell, which are never hot.
+    Rows without a location are no series: they must be set apart before, as the views
+    do, for they would meet in one task.
     """
-    hourly = hourly.filter(F.col("footfall_location").isNotNull())
-    spans = (
-        hourly.withColumn("hour", F.hour("timestamp"))
-        .withColumn("span", span_of(F.col("timestamp"), span_days))
-        .repartition(*SERIES, "span")
+    columns = hourly.columns
+    hourly = hourly.filter(F.col("footfall_location").isNotNull()).withColumns(
+        {"hour": F.hour("timestamp"), "cell": _cell_of(F.col("timestamp"), span_days)}
     )
-    framed = spans.withColumn("_copy", F.lit(False)).unionByName(
-        _back_copies(spans).withColumn("_copy", F.lit(True))
+    spans = span_table(hourly.select(*SERIES, "cell", "hour"), span_days * 24)
+    framed = (
+        hourly.join(spans, [*SERIES, "cell"])
+        .withColumn("span", F.explode(F.sequence(F.col("_own"), F.element_at("_reach", F.col("hour")))))
+        .select(*columns, "hour", "span", (F.col("span") != F.col("_own")).alias("_copy"))
+        .repartition(*SERIES, "span")
     )
 
+    first = [*SERIES, "timestamp", "total_footfall"]
+    order = ["timestamp", "total_footfall", *(c for c in columns if c not in first)]
+    whole = Window.partitionBy(*SERIES, "span").orderBy(*order)
+    day_before = whole.rowsBetween(-HOUR_ROWS, -1)
+
+    def total(column: str) -> Column:
+        frame = F.sum(F.coalesce(column, F.lit(0.0))).over(day_before)
+        return F.coalesce(frame, F.col(column), F.lit(0.0))
+
+    same_moment = Window.partitionBy(*SERIES, "span").orderBy("timestamp").rangeBetween(Window.currentRow, Window.currentRow)
+    framed = framed.withColumns(
+        {f"{name}_24_hour_total": total(name) for name in ["snow", "rain"]} | {"_place": F.row_number().over(whole)}
+    ).withColumn("copies", F.count(F.lit(1)).over(same_moment))
+
     # counts are whole numbers, so differences of running sums equal the frame's own
     # sum exactly and cost the same for any frame length
-    same_hour = Window.partitionBy(*SERIES, "span", "hour").orderBy("timestamp", "total_footfall")
+    same_hour = Window.partitionBy(*SERIES, "span", "hour").orderBy("_place")
     so_far = same_hour.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def trailing(column: str) -> Column:
@@ -94,19 +117,10 @@ def with_trailing_features(hourly: DataFrame, span_days: int = SPAN_DAYS) -> Dat
         .withColumn("_rows", trailing("_rows"))
     )
     mean = F.col("_sum").cast("double") / F.nullif("_rows", F.lit(0).cast("bigint"))
-
-    day_before = (
-        Window.partitionBy(*SERIES, "span").orderBy("timestamp", "total_footfall").rowsBetween(-HOUR_ROWS, -1)
-    )
-
-    def total(column: str) -> Column:
-        frame = F.sum(F.coalesce(column, F.lit(0.0))).over(day_before)
-        return F.coalesce(frame, F.col(column), F.lit(0.0))
-
     return (
         framed.withColumn("footfall_90_day_average", F.coalesce(mean, F.col("total_footfall").cast("double")))
-        .withColumns({f"{name}_24_hour_total": total(name) for name in ["snow", "rain"]})
-        .withColumn("copies", F.count(F.lit(1)).over(Window.partitionBy(*SERIES, "span", "timestamp")))
         .filter(~F.col("_copy"))
-        .drop("_copy", "_sum", "_rows")
+        .select(
+            *columns, "hour", "span", "footfall_90_day_average", "snow_24_hour_total", "rain_24_hour_total", "copies"
+        )
     )

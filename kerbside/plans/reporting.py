@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kerbside.functions.calendar import month_name, week_of_year, weekday_name
 from kerbside.functions.numeric import mean_of, round_half_up
 from kerbside.operators.joins import footfall_complete, with_hourly_weather
-from kerbside.operators.trailing import SERIES, SPAN_DAYS, span_of, with_trailing_features
+from kerbside.operators.trailing import SERIES, SPAN_DAYS, with_trailing_features
 
 PLAIN_MEANS = ["temp", "pressure", "humidity", "clouds", "wind"]
 RAIN_SNOW_MEANS = ["current_rain", "rain_24_hour", "current_snow", "snow_24_hour"]
@@ -60,7 +60,7 @@ def weighted_hours(footfall: DataFrame, weather: DataFrame, span_days: int = SPA
         *row(F.col("footfall_90_day_average"), F.col("rain_24_hour_total"), F.col("snow_24_hour_total"), F.col("copies"))
     )
     nothing = F.lit(None).cast("double")
-    unknown = hours.filter(F.col("footfall_location").isNull()).withColumn("span", span_of(F.col("timestamp"), span_days))
+    unknown = hours.filter(F.col("footfall_location").isNull()).withColumn("span", F.lit(0))
     return known, unknown.select(*row(nothing, nothing, nothing, F.lit(1)))
 
 

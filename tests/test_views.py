@@ -79,7 +79,7 @@ def test_frames_do_not_depend_on_spans(world, span_days):
         "footfall_90_day_average", "snow_24_hour_total", "rain_24_hour_total",
     )
     columns = ", ".join(f'"{c}"' for c in got.columns)
-    # weather delivered twice with one value leaves ties of equal rows only, which either order serves
+    # wholly equal rows remain, of which one has the same place in every frame
     sql = f"WITH {ROLLING} SELECT {columns} FROM rolling WHERE footfall_location IS NOT NULL"
     assert differences(got, con, sql) == []
 
@@ -159,8 +159,8 @@ def test_view_plan(spark, world):
     assert "ReusedExchange" in plan
     moved = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines()
              if "Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
-    # the rows, and the copies that spans reach back to
-    assert sum("span#" in keys for keys in moved) == 2
+    # the rows and the copies that spans reach back to move together
+    assert sum("span#" in keys for keys in moved) == 1
 
 
 def test_one_hot_series_is_spread_over_tasks(spark):
@@ -200,10 +200,12 @@ def test_copies_and_weather_share_one_shuffle(spark, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "-1")
     try:
-        plan = plan_of(joins.with_hourly_weather(joins.footfall_complete(footfall.filter("total_footfall % 2 = 0"), footfall), weather))
+        both = joins.with_hourly_weather(joins.footfall_complete(footfall.filter("total_footfall % 2 = 0"), footfall), weather)
+        assert both.count() == 750
+        plan = plan_of(both)
     finally:
         spark.conf.set(key, before)
-    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 2
 
 
 def test_rows_without_a_location_go_round_the_windows(spark):
@@ -224,16 +226,77 @@ def test_rows_without_a_location_go_round_the_windows(spark):
     assert {r.footfall_location: r.rolled for r in got}[None] == 0
 
 
-def test_view_without_any_broadcast(spark, world):
-    """As when no side is small: joins sort and merge, the result is the same."""
-    footfall, weather, holidays, con = world
+@pytest.fixture
+def no_broadcast(spark):
+    """As when no side is small: joins sort and merge."""
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, "-1")
-    try:
-        view = reporting.footfall_complete_weather(*by_city(footfall), weather, holidays, 40)
-        assert differences(view, con, f"WITH {ROLLING} {oracle.REPORTING}") == []
-        plan = plan_of(view)
-    finally:
-        spark.conf.set(key, before)
+    yield
+    spark.conf.set(key, before)
+
+
+def assert_no_broadcast(view):
+    plan = plan_of(view)
     assert "Broadcast" not in plan and "SortMergeJoin" in plan and "CartesianProduct" not in plan
+
+
+def test_view_without_any_broadcast(no_broadcast, world):
+    footfall, weather, holidays, con = world
+    view = reporting.footfall_complete_weather(*by_city(footfall), weather, holidays, 40)
+    assert differences(view, con, f"WITH {ROLLING} {oracle.REPORTING}") == []
+    assert_no_broadcast(view)
+
+
+def test_training_view_without_any_broadcast(no_broadcast, world):
+    footfall, weather, holidays, con = world
+    view = reporting.model_input_data_daily(*by_city(footfall), weather, holidays, "1997-01-01", "1998-12-31")
+    assert differences(view, con, f"WITH {ROLLING} {oracle.TRAINING}") == []
+    assert_no_broadcast(view)
+
+
+def test_frames_without_any_broadcast(no_broadcast, world):
+    """Rows move by series and cell for the table of spans, then by span; no task holds a whole series for either."""
+    footfall, weather, _, con = world
+    got = with_trailing_features(joins.with_hourly_weather(footfall, weather), 40)
+    assert got.count() == con.execute("SELECT count(*) FROM footfall f JOIN weather w ON f.timestamp = w.date AND f.city = w.city WHERE footfall_location IS NOT NULL").fetchone()[0]
+    rows = [line for line in plan_of(got).split("== Initial Plan ==")[-1].splitlines() if "Exchange hashpartitioning(" in line and "total_footfall" not in line]
+    assert any("cell#" in line for line in rows) and sum("span#" in line for line in rows) == 1
+
+
+def test_equal_rows_have_one_place_in_all_frames(spark):
+    """Rows equal in all columns: every run, however dealt, gives the same rows in all columns at once."""
+    rng = random.Random(5)
+    rows = []
+    for h in range(24 * 130):
+        row = ("A", "x", START + dt.timedelta(hours=h), rng.randrange(4), *[1.0] * 5, rng.choice([None, 0.0, 2.0]), rng.choice([None, 1.0]))
+        rows += [row] * rng.choice([1, 1, 1, 2, 3])
+    schema = "city string, footfall_location string, timestamp timestamp, total_footfall long, temp double, pressure double, humidity double, clouds double, wind double, rain double, snow double"
+    frame = spark.createDataFrame(rows, schema)
+    key, found = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    for parts, span_days in [("8", 731), ("3", 731), ("8", 11), ("5", 2)]:
+        spark.conf.set(key, parts)
+        try:
+            got = with_trailing_features(frame.repartition(int(parts), "total_footfall", "rain"), span_days).drop("span")
+            found.append(sorted(map(repr, got.collect())))
+        finally:
+            spark.conf.set(key, before)
+    assert len(found[0]) == len(rows) and all(f == found[0] for f in found[1:])
+
+
+@pytest.mark.parametrize("step", [60, 7], ids=["minutes", "seven seconds"])
+def test_finer_grain_keeps_groups_bounded(spark, step):
+    """The rows of a span are bounded by their number, not by days: other grains need no other setting."""
+    rows = spark.range(150_000).select(
+        F.lit("A").alias("city"), F.lit("x").alias("footfall_location"),
+        F.timestamp_seconds(F.lit(849398400) + F.col("id") * step).alias("timestamp"), (F.col("id") % 7).alias("total_footfall"),
+    ).withColumns({m: F.lit(1.0) for m in joins.WEATHER_MEASURES})
+    got = with_trailing_features(rows, 40)
+    cell = 86400 // step + 1  # a day
+    sizes = [r["count"] for r in got.groupBy("span").count().collect()]
+    assert sum(sizes) == 150_000 and max(sizes) < 40 * 24 + cell and len(sizes) > 10
+    last = got.orderBy(F.desc("timestamp")).first()
+    hour = lambda i: i * step // 3600 % 24
+    before = [i % 7 for i in range(149_998, 0, -1) if hour(i) == hour(149_999)][:90]
+    assert (last.rain_24_hour_total, last.footfall_90_day_average) == (24.0, sum(before) / 90)
