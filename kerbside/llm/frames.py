@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -78,5 +78,21 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Rows of a file of ``stage_counted``, as long as they are of a few numbers each.
+ROWS_PER_FILE = 50_000
+
+
+def stage_counted(frame: DataFrame, name: str, most_rows: int, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``stage``, in as many files as ``most_rows`` rows need, with ``metrics`` told by the write itself.
+
+    For small steps of a loop: however many partitions the shuffle before has, a few rows are a few tasks,
+    and their number is known without another job.
+    """
+    seen = Observation()
+    files = max(1, -(-most_rows // ROWS_PER_FILE))
+    frame = stage(frame.coalesce(files).observe(seen, F.count(F.lit(1)).alias("rows"), *metrics), name)
+    return frame, seen.get
+
+
 def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from kerbside.llm.frames import map_rows, record_batch, stage, words
+from kerbside.llm.frames import map_rows, record_batch, stage, stage_counted, words
 from kerbside.session import ship_package
 
 
@@ -120,7 +120,7 @@ def _signed(x) -> int:
 
 
 def fingerprints(documents: DataFrame, plan: Plan) -> DataFrame:
-    """doc_id, text_hash, n (tokens), set_id and check (hashes of the token set), sketch; staged."""
+    """doc_id, text_hash, n (tokens), hash and check (of the token set), sketch; staged."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     hashed = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
@@ -134,7 +134,7 @@ def fingerprints(documents: DataFrame, plan: Plan) -> DataFrame:
 
         return row
 
-    schema = f"doc_id {kind}, text_hash long, n int, set_id long, check long, sketch binary"
+    schema = f"doc_id {kind}, text_hash long, n int, hash long, check long, sketch binary"
     return stage(map_rows(hashed, ["doc_id", "text_hash", "text"], start, schema), "fingerprints")
 
 
@@ -213,7 +213,7 @@ def _place(i: Column | int) -> Column:
     return F.col("sketch").substr(F.lit(i) * 4 + 1 if isinstance(i, int) else i * 4 + 1, F.lit(4))
 
 
-def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
+def candidates(sets: DataFrame, plan: Plan, most_sets: int) -> DataFrame:
     """Links (a, b) that hold every likely pair of sets together, by chosen paths.
 
     A run begins with a path of one sampled token: sets go to the bucket of what
@@ -221,18 +221,20 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
     by two different places that depend on its path; sets meet there if they share what
     is sampled. A bucket that stays too large after ``depth`` splits holds sets
     that are all alike: it is cut into blocks and every pair of blocks compared,
-    so no limit drops a pair. ``sets`` has set_id and sketch.
+    so no limit drops a pair. ``sets`` has set_id and sketch, ``most_sets`` is how many there are at most.
     """
     order = np.random.Generator(np.random.PCG64(plan.seed)).permutation(SKETCH)
     first = [F.xxhash64(F.lit(plan.seed + run), _place(int(order[run]))) for run in range(plan.runs)]
     level = sets.select("set_id", F.explode(F.array(*first)).alias("key"))
     leaves: list[DataFrame] = []
+    most = most_sets * plan.runs
     for depth in range(plan.depth + 1):
         shared = level.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-        level = stage(level.join(shared, "key"), f"paths{depth}")
+        above = F.coalesce(F.sum((F.col("c") > plan.leaf).cast("long")), F.lit(0)).alias("large")
+        level, told = stage_counted(level.join(shared, "key"), f"paths{depth}", most, above)
         leaves.append(level.where(F.col("c") <= plan.leaf).select("set_id", "key"))
-        large = level.where(F.col("c") > plan.leaf)
-        if large.isEmpty():
+        large, most = level.where(F.col("c") > plan.leaf), 2 * told["large"]
+        if not told["large"]:
             break
         if depth == plan.depth:
             blocks = F.ceil(F.col("c") / plan.leaf).cast("int")
@@ -253,24 +255,28 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
     return map_groups(met, ["key"], _bucket(plan.least_equal), "a long, b long").distinct()
 
 
-def connected(links: DataFrame, name: str, turns: int = 100) -> DataFrame:
+def connected(links: DataFrame, name: str, most_links: int, turns: int = 100) -> DataFrame:
     """node and root, the least node of its component, for every node with a link.
 
     Alternating stars: every node passes the least node it knows to its larger
     neighbours, then to its smaller ones, until nothing changes. Least nodes are
-    found by aggregation, so a node with many links is no task of its own. If
+    found by aggregation, so a node with many links is no task of its own. A turn is one job, which
+    also tells if anything has changed; there are ``most_links`` links at most. If
     it has not settled after ``turns``, it fails.
     """
-    edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    told = _told(edges)
+    digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("digest")
+    first = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges, told = stage_counted(first, name, most_links, digest)
     for turn in range(turns):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stage(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), f"{name}-{turn}")
-        before, told = told, _told(edges)
+        if not told["rows"]:
+            break
+        least = edges.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("m"))
+        large = edges.join(least, F.col("b") == F.col("of"), "left").select("a", F.coalesce("m", "b").alias("b"))
+        lower = large.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("m"))
+        small = large.join(lower, F.col("a") == F.col("of")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        new = small.unionByName(lower.select(F.col("of").alias("a"), F.col("m").alias("b"))).distinct()
+        before = told
+        edges, told = stage_counted(new, f"{name}-{turn}", 2 * before["rows"], digest)
         if told == before:
             break
     else:
@@ -279,13 +285,8 @@ def connected(links: DataFrame, name: str, turns: int = 100) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def _told(edges: DataFrame) -> tuple:
-    digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count(F.lit(1)), digest).first())
-
-
 def _compare(similar: float) -> Callable[[tuple, list[tuple]], Iterable[tuple]]:
-    """Exact similarities of a group's sets: set_id, root, whether the family has other blocks, links to texts and to documents.
+    """Exact similarities of a group's sets: set_id, root, whether the family has several blocks, links to texts and to documents.
 
     A group is one block of a family or two. Shared tokens are counted by
     products of the sets' token matrices, some tokens at a time.
@@ -320,41 +321,42 @@ def _compare(similar: float) -> Callable[[tuple, list[tuple]], Iterable[tuple]]:
             linked &= block[:, None] != block[None, :]
         texts, documents = linked.sum(axis=1), linked @ docs
         for i, first in enumerate(_components(linked)):
-            yield ids[i], ids[first], two > 0, int(texts[i]), int(documents[i])
+            yield ids[i], ids[first], rows[i][4], int(texts[i]), int(documents[i])
 
     return run
 
 
-def families(documents: DataFrame, sets: DataFrame, roots: DataFrame, plan: Plan) -> DataFrame:
+def families(documents: DataFrame, sets: DataFrame, roots: DataFrame, plan: Plan) -> tuple[DataFrame, dict]:
     """set_id, root, parted, texts, docs: the exact links within each family of candidates; staged.
 
     A family goes to one group, or, if it exceeds ``plan.rows`` or
-    ``plan.tokens``, to one for each pair of its blocks.
+    ``plan.tokens``, to one for each pair of its blocks: n sets are n rows for each of n / ``plan.rows`` blocks.
     """
-    members = roots.select(F.col("node").alias("set_id"), "root").join(sets.select("set_id", "n", "doc_id", "text_hash", "docs"), "set_id")
+    members = roots.select(F.col("node").alias("set_id"), "root").join(sets.select("set_id", "hash", "n", "doc_id", "text_hash", "docs"), "set_id")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / plan.rows, F.sum("n") / plan.tokens)).cast("int")
     members = members.join(members.groupBy("root").agg(blocks.alias("blocks")), "root")
-    wanted = members.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), "set_id", "root", "docs", "blocks")
+    wanted = members.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), "set_id", "hash", "root", "docs", "blocks")
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     # by both, as an id may have many texts
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__hash")))
 
     def start():
-        def row(text, set_id, root, docs, blocks):
+        def row(text, set_id, own, root, docs, blocks):
             tokens = shingles(text, plan.shingle)
-            own = _signed(_mix(tokens).sum(dtype=_U))
-            return [(set_id, root, docs, blocks, tokens.tobytes())] if own == set_id else []  # texts of one hash may differ
+            same = _signed(_mix(tokens).sum(dtype=_U)) == own  # texts of one hash may differ
+            return [(set_id, root, docs, blocks, tokens.tobytes())] if same else []
 
         return row
 
     schema = "set_id long, root long, docs long, blocks int, tokens binary"
-    tokens = map_rows(texts, ["text", "set_id", "root", "docs", "blocks"], start, schema, chunk=200)
+    tokens = map_rows(texts, ["text", "set_id", "hash", "root", "docs", "blocks"], start, schema, chunk=200)
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     dealt = tokens.select(
-        "root", "set_id", own.alias("block"), "docs", "tokens", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("root", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "set_id", "block", "docs", "tokens")
+        "root", "set_id", own.alias("block"), "docs", "tokens", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("root", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "set_id", "block", "docs", "tokens", (F.col("blocks") > 1).alias("parted"))
     compared = map_groups(_once(dealt), ["root", "one", "two"], _compare(plan.similar), "set_id long, root long, parted boolean, texts long, docs long")
-    return stage(compared, "families")
+    found = stage(compared, "families")
+    return found, found.agg(F.coalesce(F.sum(F.col("parted").cast("long")), F.lit(0)).alias("parted")).first().asDict()
 
 
 def _once(dealt: DataFrame) -> DataFrame:
@@ -382,26 +384,31 @@ def join(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
     Repeated rows are copies. A class whose ids are all null has a null class_id. Other columns are not read.
     """
     told = fingerprints(documents, plan)
-    sets = told.where("n > 0").groupBy("set_id", "check", "n")
+    sets = told.where("n > 0").groupBy("hash", "check", "n")
     own = F.struct("doc_id", "text_hash")
     least = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), own)), F.min(own))  # a null id only if there is no other
     sets = sets.agg(least.alias("least"), F.count(F.lit(1)).alias("docs"), F.first("sketch").alias("sketch"))
-    sets = stage(sets.select("set_id", "n", "least.doc_id", "least.text_hash", "docs", "sketch"), "sets")
-    links = stage(candidates(sets, plan), "links")
-    roots = stage(connected(links, "candidates"), "roots")
-    linked = families(documents, sets, roots, plan)
+    number = F.monotonically_increasing_id().alias("set_id")  # of its own for each set, fixed by being written
+    sets, some = stage_counted(
+        sets.select(number, "hash", "check", "n", "least.doc_id", "least.text_hash", "docs", "sketch"), "sets", told.count()
+    )
+    links, found = stage_counted(candidates(sets, plan, some["rows"]), "links", some["rows"] * plan.runs)
+    roots, _ = stage_counted(connected(links, "candidates", found["rows"]), "roots", some["rows"])
+    linked, parted = families(documents, sets, roots, plan)
     counts = linked.groupBy("set_id").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("linked_docs"))
-    stars = linked.select(F.col("set_id").alias("node"), "root")
-    if not linked.where("parted").isEmpty():  # classes of one group are whole; others go on over groups
-        stars = connected(linked.select(F.col("set_id").alias("a"), F.col("root").alias("b")), "classes")
-    own = sets.select("set_id", "doc_id", "docs").join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").join(counts, "set_id", "left")
+    stars = linked.where("not parted").select(F.col("set_id").alias("node"), "root")
+    if parted["parted"]:  # classes of one group are whole; others go on over groups
+        over = linked.where("parted").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
+        stars = stars.unionByName(connected(over, "classes", parted["parted"]))
+    own = sets.select("set_id", "hash", "check", "doc_id", "docs").join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").join(counts, "set_id", "left")
     own = own.withColumn("root", F.coalesce("root", "set_id"))
     least = own.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     own = own.join(least, "root").select(
-        F.col("set_id").alias("of"), "root", "class_id",
+        F.col("hash").alias("__hash"), F.col("check").alias("__check"), "root", "class_id",
         (F.coalesce("linked_docs", F.lit(0)) + F.col("docs") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"),
     )
-    rows = told.select("doc_id", "text_hash", "n", "set_id").join(own, F.col("set_id") == F.col("of"), "left")
+    same = (F.col("hash") == F.col("__hash")) & (F.col("check") == F.col("__check"))
+    rows = told.select("doc_id", "text_hash", "n", "hash", "check").join(own, same, "left")
     # the row that stays: the least text_hash among those of the least doc_id
     best = rows.where("n > 0 and doc_id <=> class_id").groupBy(F.col("root").alias("best_root")).agg(F.min("text_hash").alias("best_hash"))
     return rows.join(best, F.col("root") == F.col("best_root"), "left").select(

@@ -95,16 +95,16 @@ def test_connected(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 200) for i in range(50)] + [(300, 301), (302, 301), (5, 5)]
     rng.shuffle(pairs)
     links = spark.createDataFrame(pairs, "a long, b long")
-    out = {r["node"]: r["root"] for r in s.connected(links, "test").collect()}
+    out = {r["node"]: r["root"] for r in s.connected(links, "test", 200).collect()}
     want = {i: 0 for i in range(61)} | {i: 100 for i in [*range(100, 150), 200]} | {300: 300, 301: 300, 302: 300}
     assert out == want
-    assert s.connected(links.where(F.col("a") < 0), "none").count() == 0
+    assert s.connected(links.where(F.col("a") < 0), "none", 0).count() == 0
 
 
 def test_connected_fails_if_it_has_not_settled(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
     with pytest.raises(RuntimeError, match="not settled"):
-        s.connected(links, "short", turns=1)
+        s.connected(links, "short", 40, turns=1)
 
 
 @pytest.mark.parametrize("doc_id", [1, None])
