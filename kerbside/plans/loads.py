@@ -47,7 +47,7 @@ def _keep_and_store(
     kept = _stage(spark, by_source, "cleaned")
     land_counts(kept, raw_root, processed_root, raw=False)
     rows = kept.select(FOOTFALL.names)
-    table = VersionedTable(spark, table_path, FOOTFALL)
+    table = VersionedTable(spark, table_path, FOOTFALL, by="timestamp")  # scoring reads the last days
     table.replace(union_cleaned([rows]) if distinct else rows)
     return table.read()
 

@@ -11,6 +11,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -41,6 +42,27 @@ class ConcurrentUpdateError(RuntimeError):
     """Somebody else has committed since this writer read the table."""
 
 
+def publish(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a folder its final name, unless that is taken; tells if it was free.
+
+    The rename refuses an existing target: of two writers at the same moment one succeeds. It needs a file
+    system whose rename of a folder is one step, such as HDFS or a local disk.
+    """
+    context = spark.sparkContext
+    fs, conf = context._jvm.org.apache.hadoop.fs, context._jsc.hadoopConfiguration()
+    old, new = (fs.Path(p).getFileSystem(conf).makeQualified(fs.Path(p)) for p in (source, target))
+    files = fs.FileContext.getFileContext(old.toUri(), conf)
+    files.mkdir(new.getParent(), fs.permission.FsPermission.getDirDefault(), True)
+    refuse = context._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        files.rename(old, new, refuse)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """The last commit and the version of each part as of it."""
@@ -49,35 +71,32 @@ class Snapshot:
     parts: dict[str, str]
 
 
-class _Versions:
+class Versions:
     """The parts of a table, each in the version that the last commit about it names.
 
     Data go to a folder of their own below ``data``; a small table below ``commits``
     then names the parts it replaces. Readers see a version only once it is named, so
     a job that dies leaves the table as it was, and running readers keep their files.
 
-    A writer that has read the table through this object expects to find it as it
-    was: if another commit has come between, the write fails and changes nothing.
-    Of two commits at the same moment the first by its writer's name counts, and the
-    other fails when it looks.
+    Commits are numbered. One is written aside and then renamed to its number, which fails if
+    that is taken. A writer that has read the table through this object asks for the number
+    after the commit it has read: if another commit has come between, or comes
+    at the same moment, the write fails and changes nothing.
     """
 
-    LOG = "seq long, writer string, part string, version string"
+    LOG = "seq long, part string, version string"
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self._seen: int | None = None
 
     def _log(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], self.LOG)
         try:
-            rows = self.spark.read.schema(self.LOG).parquet(f"{self.root}/commits")
+            return self.spark.read.schema(self.LOG).option("recursiveFileLookup", "true").parquet(f"{self.root}/commits")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return empty
-        first = rows.groupBy("seq").agg(F.min("writer").alias("writer"))
-        return rows.join(first, ["seq", "writer"], "left_semi")
+            return self.spark.createDataFrame([], self.LOG)
 
     def snapshot(self) -> Snapshot:
         """One row for each part comes to the driver, as folders do in any file index."""
@@ -96,22 +115,29 @@ class _Versions:
         return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}", base
 
     def _commit(self, base: int, version: str, parts: list[str]) -> None:
+        """Name ``version`` as that of ``parts`` in the commit after ``base``."""
         self._seen = None
-        if self.snapshot().seq != base:
+        rows = self.spark.createDataFrame([(base + 1, p, version) for p in parts], self.LOG)
+        aside = f"{self.root}/uncommitted/{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(aside)
+        if not publish(self.spark, aside, f"{self.root}/commits/{base + 1:020d}"):
             raise ConcurrentUpdateError(f"{self.root} has changed since it was read")
-        writer, seq = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}", base + 1
-        rows = self.spark.createDataFrame([(seq, writer, p, version) for p in parts], self.LOG)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        if self._log().filter((F.col("seq") == seq) & (F.col("writer") == writer)).isEmpty():
-            raise ConcurrentUpdateError(f"{self.root} was changed at the same moment")
 
     def _empty(self, version: str) -> None:
         """Give back the space of a version that no part uses any more."""
         self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.root}/data/{version}")
 
 
-class VersionedTable(_Versions):
-    """A table replaced as a whole, also by a query that reads it."""
+class VersionedTable(Versions):
+    """A table replaced as a whole, also by a query that reads it.
+
+    With ``by``, a column's name, files hold ranges of it and are sorted by it, so a reader that
+    wants some of them (the days before a forecast) skips the other files by their statistics.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, by: str | None = None):
+        super().__init__(spark, root, schema)
+        self.by = by
 
     def versions(self) -> list[str]:
         return [r["version"] for r in self._log().orderBy("seq").collect()]
@@ -124,7 +150,9 @@ class VersionedTable(_Versions):
 
     def replace(self, df: DataFrame) -> None:
         version, base = self._new_version()
-        conform(df, self.schema).hint("rebalance").write.mode("error").parquet(f"{self.root}/data/{version}")
+        rows = conform(df, self.schema)
+        rows = rows.hint("rebalance") if self.by is None else rows.repartitionByRange(self.by).sortWithinPartitions(self.by)
+        rows.write.mode("error").parquet(f"{self.root}/data/{version}")
         self._commit(base, version, [""])
 
     def drop_superseded(self, keep: int = 2) -> None:
@@ -133,7 +161,7 @@ class VersionedTable(_Versions):
             self._empty(version)
 
 
-class PeriodTable(_Versions):
+class PeriodTable(Versions):
     """A table with a ``date`` column kept by month, or other ``unit`` of ``date_trunc``.
 
     Days are replaced one by one whatever the unit; it only sets how much is rewritten

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbside.operators import history
-from kerbside.plans import loads, model
+from kerbside.plans import loads, model, scoring
 from kerbside.schemas import FOOTFALL, FORECASTS, HOLIDAYS, WEATHER_HISTORY
 from kerbside.session import staging_path
 from kerbside.sources import json_docs, tables
@@ -143,7 +143,7 @@ def test_a_write_that_dies_leaves_the_table_whole(spark, tmp_path, monkeypatch):
     def die(*_):
         raise KeyboardInterrupt
 
-    monkeypatch.setattr(tables._Versions, "_commit", die)  # after the data, before the swap
+    monkeypatch.setattr(tables.Versions, "_commit", die)  # after the data, before the swap
     for write in (lambda: whole.replace(new), lambda: parts.write_periods(new)):
         with pytest.raises(KeyboardInterrupt):
             write()
@@ -269,3 +269,89 @@ def test_encoding_is_one_at_any_size(spark):
     assert fitted.encoding.filter("column = 'footfall_location' AND mean = cast(substr(value, 2) AS double) AND n = 2").count() == 1500
     new = rows.limit(1).withColumn("footfall_location", F.lit("new")).drop("total_footfall")
     assert 500 < model.predict(fitted, new).first().predicted_footfall < 1000
+
+
+@pytest.mark.parametrize("kind", ["VersionedTable", "PeriodTable"])
+@pytest.mark.parametrize("first", ["one", "two"])
+def test_of_two_commits_at_one_moment_one_succeeds(spark, tmp_path, monkeypatch, kind, first):
+    """The second writer commits between the first one's last look and its rename."""
+    one, two = (getattr(tables, kind)(spark, str(tmp_path / "t"), WEATHER_HISTORY) for _ in range(2))
+    write = "replace" if kind == "VersionedTable" else "write_periods"
+    getattr(one, write)(weather(spark, [HOUR], 1.0))
+    one.read(), two.read()
+    early, late = (one, two) if first == "one" else (two, one)
+    publish, inner = tables.publish, []
+
+    def between(*args):
+        if not inner:
+            inner.append(True)
+            getattr(early, write)(weather(spark, [HOUR], 2.0))
+        return publish(*args)
+
+    monkeypatch.setattr(tables, "publish", between)
+    with pytest.raises(tables.ConcurrentUpdateError):
+        getattr(late, write)(weather(spark, [HOUR], 3.0))
+    monkeypatch.undo()
+    assert {r.temp for r in late.read().collect()} == {2.0} and late.snapshot().seq == 2
+    getattr(late, write)(weather(spark, [HOUR], 4.0))
+    assert {r.temp for r in early.read().collect()} == {4.0}
+
+
+def test_look_back_reads_few_files(spark, tmp_path):
+    """Files of a table by time hold ranges of it: a look-back of 90 days finds rows in few of them."""
+    rows = spark.range(6 * 365 * 24).select(
+        F.lit("A").alias("city"), F.concat(F.lit("x"), F.col("id") % 5).alias("footfall_location"),
+        (F.lit("2018-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("timestamp"),
+        (F.col("id") % 97).alias("total_footfall"),
+    ).repartition(6)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # so little data would be one file
+    try:
+        table = tables.VersionedTable(spark, str(tmp_path / "t"), FOOTFALL, by="timestamp")
+        table.replace(rows)
+    finally:
+        spark.conf.unset(key)
+    files = table.read().select("_metadata.file_path", "_metadata.row_index", "timestamp")
+    every = files.select("file_path").distinct().count()
+    wanted = scoring.last_days(files, "2023-12-01")
+    assert every >= 8 and wanted.select("file_path").distinct().count() <= 2
+    assert wanted.count() == 90 * 24
+    bounds = files.groupBy("file_path").agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")).orderBy("low").collect()
+    assert all(a["high"] <= b["low"] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_no_task_holds_a_city(spark):
+    """Locations of one city, and no side broadcast: the join with the days is spread."""
+    foot = spark.range(20_000).select(
+        F.lit("A").alias("city"), F.concat(F.lit("place "), F.col("id").cast("string")).alias("footfall_location"),
+        F.lit("2024-03-09 10:00:00").cast("timestamp").alias("timestamp"), F.lit(5).cast("long").alias("total_footfall"),
+    )
+    days = [("A", dt.date(2024, 3, 10 + i), 1.0, 4.0, 1, 2, 3, 4.0, 0.5, 0.0) for i in range(2)]
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        rows = scoring.scoring_input(
+            foot, spark.createDataFrame(days, FORECASTS), spark.createDataFrame([], WEATHER_HISTORY), spark.createDataFrame([], HOLIDAYS), "2024-03-10"
+        )
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == 40_000 and max(sizes) < 12_000
+
+
+def test_no_label_is_in_its_own_mean(spark):
+    """Cross-fitted means: changing a row's label leaves the means it is encoded by as they were."""
+    schema = "city string, footfall_location string, weekday string, month string, bank_holiday int, total_footfall long"
+    rows = [("A", f"x{i % 3}", f"day {i % 7}", f"month {i % 12}", i % 2, 10 * i) for i in range(60)] + [(None, "only", "day 0", "month 0", 0, 5)]
+    means = lambda own: {(r["column"], r["value"], r["fold"]): r["mean"] for r in model.cross_means(spark.createDataFrame(own, schema)).collect()}
+    plain = means(rows)
+    frame = spark.createDataFrame(rows, schema).withColumn("fold", model.fold())
+    folds = [r["fold"] for r in frame.collect()]
+    changed = means([(*r[:5], r[5] + 1000) if f == 2 else r for r, f in zip(rows, folds)])
+    assert {k: v for k, v in plain.items() if k[2] == 2} == {k: v for k, v in changed.items() if k[2] == 2}
+    assert all(plain[k] < changed[k] for k in plain if k[2] != 2)
+    others = [r[5] for r, f in zip(rows, folds) if f != folds[-1]]
+    assert abs(plain["city", None, folds[-1]] - sum(others) / len(others)) < 1e-9  # no other fold has it
