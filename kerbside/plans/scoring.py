@@ -11,6 +11,8 @@ from kerbside.functions.numeric import round_half_up
 from kerbside.operators.trailing import SERIES
 
 LOOK_BACK_DAYS = 90
+# Parts that the locations of a city are dealt to; the few forecast days go to each.
+CITY_PARTS = 64
 
 
 def _as_of(as_of: dt.date | str | None) -> Column:
@@ -108,9 +110,12 @@ def scoring_input(
     """Each location with every forecast day of its city.
 
     The few forecast days are completed first, so the many locations take part in one
-    join only.
+    join only. There are few cities: if the days are not broadcast, a city's locations
+    go to ``CITY_PARTS`` parts and its days to each of them, so no task holds a city.
     """
-    rows = trailing_level(footfall, as_of).join(forecast_days(forecasts, weather, holidays), "city", "left")
+    level = trailing_level(footfall, as_of).withColumn("_part", F.pmod(F.xxhash64("footfall_location"), F.lit(CITY_PARTS)).cast("int"))
+    days = forecast_days(forecasts, weather, holidays).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(CITY_PARTS - 1))))
+    rows = level.join(days, ["city", "_part"], "left")
     return rows.select(
         *SERIES,
         "date",

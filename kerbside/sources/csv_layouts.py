@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from kerbside.session import ship_package
+from kerbside.session import ship_package, staging_path
 from kerbside.sources.catalogue import EXCLUDED_SOURCES
 from kerbside.sources.tables import CSV_OPTIONS, CSV_STRICT
 
@@ -66,6 +66,21 @@ def file_headers(
     ``names``, a frame with ``file_name``, keeps only those it lists. A header with a
     line break inside quotes is an error.
     """
+    return _wanted(_all_headers(spark, root), exclude, names)
+
+
+def _wanted(headers: DataFrame, exclude: Sequence[str], names: DataFrame | None) -> DataFrame:
+    if exclude:
+        headers = headers.filter(~F.col("source_file").isin(list(exclude)))
+    if names is not None:
+        headers = headers.join(names.select(F.col("file_name").alias("source_file")).distinct(), "source_file", "left_semi")
+    torn = F.raise_error(F.concat(F.lit("a header goes over several lines: "), F.col("path")))
+    headers = headers.withColumn("path", F.when(F.col("torn"), torn.cast("string")).otherwise(F.col("path")))
+    return headers.select("path", "source_file", "header")
+
+
+def _all_headers(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, source_file, header, torn)`` of every CSV file, whether it is wanted or not."""
     ship_package(spark)
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
     lines = lines.select("value", F.col("_metadata.file_block_start").alias("block"), _plain_path().alias("path"))
@@ -76,15 +91,9 @@ def file_headers(
         .agg(F.min_by("value", "number").alias("line"))
         .withColumn("source_file", source_name(F.col("path")))
     )
-    if exclude:
-        first = first.filter(~F.col("source_file").isin(list(exclude)))
-    if names is not None:
-        first = first.join(names.select(F.col("file_name").alias("source_file")).distinct(), "source_file", "left_semi")
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
-    torn = F.raise_error(F.concat(F.lit("a header goes over several lines: "), F.col("path")))
-    first = first.withColumn("line", F.when(quotes % 2 == 0, F.col("line")).otherwise(torn.cast("string")))
-    schema = "path string, source_file string, header array<string>"
-    return first.select("path", "source_file", "line").mapInPandas(_parse_headers, schema)
+    schema = "path string, source_file string, torn boolean, header array<string>"
+    return first.select("path", "source_file", "line", (quotes % 2 != 0).alias("torn")).mapInPandas(_parse_headers, schema)
 
 
 @dataclass(frozen=True)
@@ -146,9 +155,11 @@ def read_layouts(
     names: DataFrame | None = None,
     malformed: bool = False,
 ) -> list[DataFrame]:
-    """One frame per layout found under ``root``."""
-    headers = file_headers(spark, root, exclude, names)
-    found = layouts(headers, file_headers(spark, root, ()))
+    """One frame per layout found under ``root``. The text is read once for all headers, which are staged."""
+    every, path = _all_headers(spark, root), staging_path(spark, "headers")
+    every.write.parquet(path)
+    every = spark.read.schema(every.schema).parquet(path)
+    found = layouts(_wanted(every, exclude, names), every.select("path", "source_file", "header"))
     return [read_layout(spark, layout, malformed) for layout in found]
 
 
