@@ -18,7 +18,6 @@ from kerbside.sources.tables import land_json_run
 AS_OF = "2001-06-01"
 FORECAST_END = "2001-07-01"
 EXCLUDE_FROM, EXCLUDE_TO = "1997-01-01", "1998-12-31"
-HOLIDAY_PRICE = 490000
 
 
 _schemas: dict[str, StructType] = {}
@@ -100,25 +99,27 @@ def _weather_measures(nullable: bool) -> list[Column]:
 def weather(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """Hourly weather, in quarters of a degree.
 
-    With ``gaps`` a quarter of the suppliers report none, so that some counted hours
-    have no weather; that is for the joins, where it matters.
+    With ``gaps`` the weather of the 13th of a month is of half past, so that some counted
+    hours have no weather; that is for the joins, where it matters.
     """
-    lines = table(spark, sf_dir, "lineitem")
     rows = (
-        (lines.filter(F.col("l_suppkey") % 4 != 0) if gaps else lines)
+        table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_linestatus").alias("city"), _line_hour().alias("date"))
         .agg((F.sum("l_quantity") / 4).alias("temp"), *_weather_measures(nullable=True))
     )
+    if gaps:
+        later = F.col("date") + F.make_dt_interval(mins=F.lit(30))
+        rows = rows.withColumn("date", F.when(F.dayofmonth("date") == 13, later).otherwise(F.col("date")))
     return conform(rows, WEATHER_HISTORY)
 
 
 @_storable
 def forecasts(spark: SparkSession, sf_dir: str, coming: bool = False) -> DataFrame:
-    """Daily forecasts of all days, or of the days that are scored, some without one."""
+    """Daily forecasts of all days, or of the days that are scored; those of the 7th are a year late, so the 8th follows the 6th."""
     shipped = F.col("l_shipdate")
     lines = table(spark, sf_dir, "lineitem")
     if coming:
-        lines = lines.filter((F.col("l_partkey") % 2 == 0) & (shipped >= F.lit(AS_OF)) & (shipped < F.lit(FORECAST_END)))
+        lines = lines.filter((shipped >= F.lit(AS_OF)) & (shipped < F.lit(FORECAST_END)))
     rows = (
         lines.groupBy(F.col("l_linestatus").alias("city"), F.to_date(shipped).alias("date"))
         .agg(
@@ -127,16 +128,18 @@ def forecasts(spark: SparkSession, sf_dir: str, coming: bool = False) -> DataFra
             *_weather_measures(nullable=False),
         )
     )
+    if coming:
+        rows = rows.withColumn("date", F.when(F.dayofmonth("date") == 7, F.date_add("date", 365)).otherwise(F.col("date")))
     return conform(rows, FORECASTS)
 
 
 @_storable
 def holidays(spark: SparkSession, sf_dir: str, rare: bool = False) -> DataFrame:
-    """Order days as holidays, or only a few of them, as the joins would meet."""
-    rows = table(spark, sf_dir, "orders")
+    """Order days as holidays; with ``rare`` all but the first of a month are a century off, so that few days have one."""
+    day = F.to_date("o_orderdate")
     if rare:
-        rows = rows.filter(F.col("o_totalprice") > HOLIDAY_PRICE)
-    rows = rows.select(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("name"))
+        day = F.when(F.dayofmonth(day) == 1, day).otherwise(F.date_add(day, 36525))
+    rows = table(spark, sf_dir, "orders").select(day.alias("date"), F.col("o_orderpriority").alias("name"))
     return conform(rows.distinct(), HOLIDAYS)
 
 

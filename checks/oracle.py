@@ -26,29 +26,31 @@ def _measures(nullable: bool) -> str:
 
 
 
-def _weather(condition: str = "") -> str:
+def _weather(date: str = "date") -> str:
     return f"""weather AS (
-  SELECT l_linestatus AS city, {_TS} AS date, CAST(sum(l_quantity) AS DOUBLE) / 4 AS temp, {_measures(True)}
-  FROM lineitem {condition} GROUP BY 1, 2)"""
+  SELECT * REPLACE ({date} AS date) FROM (
+    SELECT l_linestatus AS city, {_TS} AS date, CAST(sum(l_quantity) AS DOUBLE) / 4 AS temp, {_measures(True)}
+    FROM lineitem GROUP BY 1, 2))"""
 
 
-def _forecasts(condition: str = "") -> str:
+def _forecasts(date: str = "date", condition: str = "") -> str:
     return f"""forecasts AS (
-  SELECT l_linestatus AS city, CAST(l_shipdate AS DATE) AS date,
-         min(l_quantity) AS min_temp, max(l_quantity) AS max_temp, {_measures(False)}
-  FROM lineitem {condition} GROUP BY 1, 2)"""
+  SELECT * REPLACE ({date} AS date) FROM (
+    SELECT l_linestatus AS city, CAST(l_shipdate AS DATE) AS date,
+           min(l_quantity) AS min_temp, max(l_quantity) AS max_temp, {_measures(False)}
+    FROM lineitem {condition} GROUP BY 1, 2))"""
 
 
-def _holidays(condition: str = "") -> str:
+def _holidays(date: str = "date") -> str:
     return f"""holidays AS (
-  SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS name FROM orders {condition})"""
+  SELECT DISTINCT {date} AS date, name FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS name FROM orders))"""
 
 
-# All rows of the tables; and, for joins and scoring, inputs in which some hours and days are absent.
+# All rows of the tables; and, for joins and scoring, inputs in which some hours and days are off the counted ones.
 _ALL_WEATHER, _ALL_FORECASTS, _ALL_HOLIDAYS = _weather(), _forecasts(), _holidays()
-_WEATHER = _weather("WHERE l_suppkey % 4 <> 0")
-_FORECASTS = _forecasts("WHERE l_partkey % 2 = 0 AND l_shipdate >= DATE '2001-06-01' AND l_shipdate < DATE '2001-07-01'")
-_HOLIDAYS = _holidays("WHERE o_totalprice > 490000")
+_WEATHER = _weather("CASE WHEN day(date) = 13 THEN date + INTERVAL 30 MINUTE ELSE date END")
+_FORECASTS = _forecasts("CASE WHEN day(date) = 7 THEN date + 365 ELSE date END", "WHERE l_shipdate >= DATE '2001-06-01' AND l_shipdate < DATE '2001-07-01'")
+_HOLIDAYS = _holidays("CASE WHEN day(date) = 1 THEN date ELSE date + 36525 END")
 
 ROLLING = """hourly AS (
   SELECT *, row_number() OVER (PARTITION BY footfall_location, city ORDER BY "timestamp", total_footfall, temp, pressure,
@@ -325,6 +327,13 @@ ORACLE |= {
     + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {c} AS value, avg(total_footfall) AS mean, count(*) AS n FROM rows GROUP BY {c}" for c in _CATEGORIES
     ),
+    "model_cross_means": f"""WITH rows AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|',
+      {", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in [*_CATEGORIES, "bank_holiday"])})), 1, 4) AS INTEGER) % 5 AS fold FROM ({_TRAINING_ROWS})),
+    own AS ({" UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value, fold, sum(total_footfall) AS s, count(*) AS n FROM rows GROUP BY {c}, fold" for c in _CATEGORIES)}),
+    folds AS (SELECT fold, sum(total_footfall) AS s, count(*) AS n FROM rows GROUP BY fold),
+    rest AS (SELECT a.fold, sum(b.s) / sum(b.n) AS mean FROM folds a JOIN folds b ON a.fold <> b.fold GROUP BY a.fold)
+    SELECT "column", value, o.fold, round((sum(s) OVER w - s + 5 * r.mean) / (sum(n) OVER w - n + 5), 6) AS mean
+    FROM own o JOIN rest r ON o.fold = r.fold WINDOW w AS (PARTITION BY "column", value)""",
     "model_filled": f"WITH rows AS ({_TRAINING_ROWS}) "
     + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean FROM rows" for c in _NUMBERS),
 }

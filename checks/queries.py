@@ -473,6 +473,13 @@ def model_encoding(spark, sf_dir):
     return _trained(spark, sf_dir)[1].encoding
 
 
+@query
+def model_cross_means(spark, sf_dir):
+    """What training rows are encoded by: means over the other folds."""
+    rows = model.stage(spark, training_rows(spark, sf_dir))
+    return model.cross_means(rows).withColumn("mean", F.round("mean", 6))
+
+
 @query
 def model_filled(spark, sf_dir):
     return model.filled_values(_trained(spark, sf_dir)[1]).withColumn("mean", F.round("mean", 6))
