@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from kerbside.sources.tables import ConcurrentUpdateError, Versions
 
 KEY = ["source", "lang", "tokenizer_version"]
+LEDGER = "source string, lang string, tokenizer_version string, docs long, tokens long, batch string, version string"
 
 
 def signed(changes: DataFrame) -> DataFrame:
@@ -27,33 +31,41 @@ def signed(changes: DataFrame) -> DataFrame:
     )
 
 
-class TokenRollup:
+class TokenRollup(Versions):
     """Totals as the sum of committed batches, below one shared folder.
 
-    A batch is one partition, named by its id and replaced as a whole: Spark
-    writes it aside and moves it in on commit, so a batch that dies leaves no
-    trace, and one that is delivered again replaces itself and changes nothing.
-    Sums don't depend on the order of batches.
+    A batch is a part of the table, under its id: its sums are written aside and count from the
+    commit that names them, all at once. One that is delivered again replaces itself, also by
+    nothing, so the same batch changes nothing; one that dies leaves no trace. Sums don't
+    depend on the order of batches. Before the first commit totals are empty.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+        super().__init__(spark, path, StructType.fromDDL(LEDGER))
 
     def commit(self, batch: str, changes: DataFrame) -> None:
-        (
-            signed(changes)
-            .withColumn("batch", F.lit(batch))
-            .coalesce(1)  # one row for each source, language and version
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(self.path)
-        )
+        """Make ``changes`` the whole content of a batch; other writers' commits only let this one take its turn later."""
+        self._write(signed(changes).withColumn("batch", F.lit(batch)), [batch])
+
+    def _write(self, rows: DataFrame, batches: list[str], turns: int = 100) -> None:
+        version, base = self._new_version()
+        rows = rows.withColumn("version", F.lit(version)).select(self.schema.names)
+        rows.coalesce(1).write.parquet(f"{self.root}/data/{version}")  # a row for each source, language and version
+        for _ in range(turns):
+            try:
+                return self._commit(base, version, batches)
+            except ConcurrentUpdateError:  # batches don't depend on each other
+                base = self.snapshot().seq
+        raise ConcurrentUpdateError(f"{self.root} was changed {turns} times meanwhile")
 
     def ledger(self) -> DataFrame:
-        return self.spark.read.schema(
-            "source string, lang string, tokenizer_version string, docs long, tokens long, batch string"
-        ).parquet(self.path)
+        """The sums of all batches: source, lang, tokenizer_version, docs, tokens, batch, version."""
+        parts = self.snapshot().parts
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.root}/data/{version}" for version in sorted(set(parts.values()))]
+        told = self.spark.createDataFrame(list(parts.items()), "batch string, version string")
+        return self.spark.read.schema(self.schema).parquet(*paths).join(told, ["batch", "version"], "left_semi")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer_version, docs, tokens; groups that are empty again stay out."""
@@ -65,6 +77,12 @@ class TokenRollup:
         )
 
     def fold(self, path: str) -> TokenRollup:
-        """The same totals as one batch in a new folder, where the ledger has grown long."""
-        self.totals().withColumn("batch", F.lit("folded")).coalesce(1).write.mode("overwrite").partitionBy("batch").parquet(path)
-        return TokenRollup(self.spark, path)
+        """The same batches in one version in a new folder, where the ledger has grown long.
+
+        Each keeps its id and sums, empty ones too, so one that is delivered again still replaces itself.
+        """
+        folded = TokenRollup(self.spark, path)
+        batches = sorted(self.snapshot().parts)
+        if batches:
+            folded._write(self.ledger(), batches)
+        return folded
