@@ -39,12 +39,13 @@ def span_table(rows: DataFrame, span_rows: int) -> DataFrame:
     """
     counts = rows.groupBy(*SERIES, "cell", "hour").agg(F.count(F.lit(1)).alias("n"))
     series, hourly = Window.partitionBy(*SERIES), Window.partitionBy(*SERIES, "hour")
-    before, after = Window.unboundedPreceding, Window.unboundedFollowing
+    before = Window.unboundedPreceding
     counts = counts.withColumn("a", F.coalesce(F.sum("n").over(series.orderBy("cell").rangeBetween(before, -1)), F.lit(0)))
     counts = counts.withColumn("_own", F.dense_rank().over(series.orderBy(F.floor(F.col("a") / F.lit(span_rows)))))
     counts = counts.withColumn("m", F.max("_own").over(series.orderBy("a").rangeBetween(before, HOUR_ROWS - 1)))
-    # what the next cell's first row says of the 23 after it holds for this cell's last row
-    counts = counts.withColumn("_reach_day", F.min("m").over(series.orderBy("cell").rangeBetween(1, after)))
+    # what the next cell's first row says of the 23 after it holds for this cell's last row; spans only grow, so
+    # that is the least of all later cells (read backwards, as a frame that only grows costs least)
+    counts = counts.withColumn("_reach_day", F.min("m").over(series.orderBy(F.desc("cell")).rangeBetween(before, -1)))
     counts = counts.withColumn("a", F.coalesce(F.sum("n").over(hourly.orderBy("cell").rangeBetween(before, -1)), F.lit(0)))
     counts = counts.withColumn("m", F.max("_own").over(hourly.orderBy("a").rangeBetween(before, SAME_HOUR_ROWS - 1)))
     counts = counts.withColumn("_reach_hour", F.lead("m").over(hourly.orderBy("cell")))
