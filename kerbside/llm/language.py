@@ -86,9 +86,9 @@ def sample(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 
 def _convolve(net: Network, x: np.ndarray) -> Iterator[np.ndarray]:
-    """Filter values (windows x places x n) of each width."""
+    """Filter values (windows x places x n) of each width, all at the places that the widest has."""
+    places = x.shape[1] - max(map(len, net.filters)) + 1
     for f, b in zip(net.filters, net.bias, strict=True):
-        places = x.shape[1] - len(f) + 1
         out = f[0][x[:, :places]]
         for k in range(1, len(f)):
             out += f[k][x[:, k : k + places]]
@@ -144,7 +144,8 @@ def fit(pairs: list[tuple[str, bytes]], plan: Plan = Plan()) -> Network:
             own = [back[:, i * plan.filters : (i + 1) * plan.filters] for i in range(len(plan.widths))]
             for g, place, d in zip(grads, best, own, strict=True):
                 for k in range(len(g)):
-                    np.add.at(g[k], (batch[who[:, None], place + k], np.arange(plan.filters)[None, :]), d)
+                    at_byte = batch[who[:, None], place + k].astype(np.int64) * plan.filters + np.arange(plan.filters)
+                    g[k] = np.bincount(at_byte.ravel(), d.ravel(), 256 * plan.filters).reshape(256, -1)
                 g[:, 0] = 0
             grads += [d.sum(axis=0) for d in own] + [active.T @ delta, delta.sum(axis=0)]
             steps += 1
@@ -160,26 +161,26 @@ class Reader:
 
     def __init__(self, net: Network) -> None:
         self.net = net
-        self.pairs = [
-            [(f[k][:, None] + f[k + 1][None, :]).reshape(65536, -1) for k in range(0, len(f) - 1, 2)] for f in net.filters
-        ]
+        pairs = [[(f[k][:, None] + f[k + 1][None, :]).reshape(65536, -1) for k in range(0, len(f) - 1, 2)] for f in net.filters]
+        self.first = np.concatenate([p[0] for p in pairs], axis=1)  # of all widths in one
+        self.later = [p[1:] for p in pairs]
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """Of each language, for each window, some windows at a time."""
-        out, step = [], 512
+        out, step = [], 128
+        places = self.net.window - max(map(len, self.net.filters)) + 1
         for at in range(0, len(x), step):
-            rows = x[at : at + step]
-            two = rows[:, :-1].astype(np.int32) * 256 + rows[:, 1:]
-            pooled = []
-            for f, pairs, bias in zip(self.net.filters, self.pairs, self.net.bias, strict=True):
-                places = rows.shape[1] - len(f) + 1
-                conv = pairs[0].take(two[:, :places], axis=0)
-                for i, table in enumerate(pairs[1:], 1):
-                    conv += table.take(two[:, 2 * i : 2 * i + places], axis=0)
+            rows = x[at : at + step].astype(np.int64)
+            two = rows[:, :-1] * 256 + rows[:, 1:]
+            conv, low = self.first.take(two[:, :places], axis=0), 0
+            for f, tables in zip(self.net.filters, self.later, strict=True):
+                own = conv[:, :, low : low + f.shape[2]]
+                for i, table in enumerate(tables, 1):
+                    own += table.take(two[:, 2 * i : 2 * i + places], axis=0)
                 if len(f) % 2:
-                    conv += f[-1].take(rows[:, len(f) - 1 : len(f) - 1 + places], axis=0)
-                pooled.append(conv.max(axis=1) + bias)
-            h = np.maximum(np.concatenate(pooled, axis=1), 0)
+                    own += f[-1].take(rows[:, len(f) - 1 : len(f) - 1 + places], axis=0)
+                low += f.shape[2]
+            h = np.maximum(conv.max(axis=1) + np.concatenate(self.net.bias), 0)
             out.append(_softmax(h @ self.net.weights + self.net.offset))
         return np.concatenate(out)
 
