@@ -1,8 +1,8 @@
 """Many CSV files whose headers differ.
 
 One read over mixed headers would put values under the wrong names, so files are
-grouped by their ordered header and each group is read with its own schema. Files
-are opened by Spark's own readers only, so one client and its settings serve all.
+grouped by their ordered header and each group is read with its own schema. Spark's
+readers list the files and read their rows; headers come from the files' heads.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -61,8 +63,7 @@ def file_headers(
 ) -> DataFrame:
     """``(path, source_file, header)`` of every CSV file under ``root``.
 
-    The first line of each file, from one text scan; lines meet by their number
-    within the first block of a file, before any shuffle. ``exclude`` leaves sources out;
+    The first line of each file, read when this is called. ``exclude`` leaves sources out;
     ``names``, a frame with ``file_name``, keeps only those it lists. A header with a
     line break inside quotes is an error.
     """
@@ -79,18 +80,61 @@ def _wanted(headers: DataFrame, exclude: Sequence[str], names: DataFrame | None)
     return headers.select("path", "source_file", "header")
 
 
+#: Bytes of a file that are asked for at once until its first line ends.
+HEAD = 1 << 16
+
+
+def _head(path: str, uri: str) -> tuple[str | None, bool]:
+    """First line of a file, null if it has none, and whether it could be opened here."""
+    try:
+        files, name = (fs.LocalFileSystem(), path.removeprefix("file:")) if path.startswith("file:") else fs.FileSystem.from_uri(uri)
+        source = files.open_input_stream(name, compression=None, buffer_size=0)
+    except (OSError, ImportError, pa.ArrowException):
+        return None, False
+    head = b""
+    with source:
+        while not re.search(rb"[\r\n]", head) and (more := source.read(HEAD)):
+            head += more
+    return (re.split(rb"[\r\n]", head)[0].decode("utf-8", "replace") if head else None), True
+
+
+def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        told = [_head(path, uri) for path, uri in zip(batch["path"], batch["uri"], strict=True)]
+        yield batch[["path"]].assign(line=[line for line, _ in told], opened=[opened for _, opened in told])
+
+
+def _first_lines(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, line)`` of every CSV file, staged.
+
+    Spark lists the files; workers read each up to the end of its first line, so
+    the bytes read go by the number of files and not by their size. Where the workers'
+    own client can't open a file (a scheme or login that only Spark's has), one text
+    scan serves all files instead, and is dearer by the size of the text.
+    """
+    ship_package(spark)
+
+    def files(kind: str) -> DataFrame:
+        return spark.read.format(kind).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(root)
+
+    listed = files("binaryFile").select(_plain_path().alias("path"), F.col("_metadata.file_path").alias("uri"))  # contents are not read
+    heads = _staged(listed.mapInPandas(_heads, "path string, line string, opened boolean"))
+    if heads.where(~F.col("opened")).isEmpty():
+        return heads.where(F.col("line").isNotNull()).select("path", "line")
+    lines = files("text").select("value", F.col("_metadata.file_block_start").alias("block"), _plain_path().alias("path"))
+    first = lines.where(F.col("block") == 0).withColumn("number", F.monotonically_increasing_id())  # grows along a file's block
+    return _staged(first.groupBy("path").agg(F.min_by("value", "number").alias("line")))
+
+
+def _staged(frame: DataFrame) -> DataFrame:
+    path = staging_path(frame.sparkSession, "heads")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def _all_headers(spark: SparkSession, root: str) -> DataFrame:
     """``(path, source_file, header, torn)`` of every CSV file, whether it is wanted or not."""
-    ship_package(spark)
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
-    lines = lines.select("value", F.col("_metadata.file_block_start").alias("block"), _plain_path().alias("path"))
-    first = (
-        lines.filter(F.col("block") == 0)
-        .withColumn("number", F.monotonically_increasing_id())  # grows along a file's block
-        .groupBy("path")
-        .agg(F.min_by("value", "number").alias("line"))
-        .withColumn("source_file", source_name(F.col("path")))
-    )
+    first = _first_lines(spark, root).withColumn("source_file", source_name(F.col("path")))
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
     schema = "path string, source_file string, torn boolean, header array<string>"
     return first.select("path", "source_file", "line", (quotes % 2 != 0).alias("torn")).mapInPandas(_parse_headers, schema)
@@ -155,10 +199,8 @@ def read_layouts(
     names: DataFrame | None = None,
     malformed: bool = False,
 ) -> list[DataFrame]:
-    """One frame per layout found under ``root``. The text is read once for all headers, which are staged."""
-    every, path = _all_headers(spark, root), staging_path(spark, "headers")
-    every.write.parquet(path)
-    every = spark.read.schema(every.schema).parquet(path)
+    """One frame per layout found under ``root``."""
+    every = _all_headers(spark, root)
     found = layouts(_wanted(every, exclude, names), every.select("path", "source_file", "header"))
     return [read_layout(spark, layout, malformed) for layout in found]
 

@@ -1,5 +1,6 @@
 """Raw count files: headers, layouts, cleaning, loads."""
 
+import contextlib
 import datetime as dt
 import json
 import os
@@ -58,6 +59,60 @@ def test_folders_of_one_layout_are_read_by_pattern(spark, tmp_path):
     assert sum(csv_layouts.read_layout(spark, lay).count() for lay in some) == 6
 
 
+def _bytes_read():
+    """Of this process and its children, the workers, by any client."""
+    own, total = os.getpid(), 0
+    parents = {}
+    for pid in filter(str.isdigit, os.listdir("/proc")):
+        with contextlib.suppress(OSError):
+            with open(f"/proc/{pid}/stat") as file:
+                parents[int(pid)] = int(file.read().rsplit(")", 1)[1].split()[1])
+    for pid in parents:
+        at = pid
+        while at in parents and at != own:
+            at = parents[at]
+        if at == own:
+            with contextlib.suppress(OSError), open(f"/proc/{pid}/io") as file:
+                total += int(file.readline().split()[1])
+    return total
+
+
+def test_headers_of_long_files_are_read_from_their_heads(spark, tmp_path):
+    """The bytes read for a header don't grow with the file, and each file gives its own."""
+    read = []
+    for megabytes in (1, 1, 64):
+        root = tmp_path / str(len(read))
+        root.mkdir()
+        for i in range(3):
+            with open(root / f"long {i}+.csv", "w") as file:
+                file.write(f"A,B{i}\r\n")
+                file.write("some place,12345\n" * (megabytes * 2**20 // 17))
+        (root / "short.csv").write_text("\ufeffC,é")
+        (root / "wide.csv").write_text(",".join(f"column {i}" for i in range(20_000)) + "\r1\r")
+        (root / "empty.csv").write_text("")
+        before = _bytes_read()
+        headers = csv_layouts.file_headers(spark, str(root), ()).collect()
+        read.append(_bytes_read() - before)
+        found = {r.source_file: list(r.header) for r in headers}
+        assert len(found.pop("wide.csv")) == 20_000
+        assert found == {"long 0+.csv": ["A", "B0"], "long 1+.csv": ["A", "B1"], "long 2+.csv": ["A", "B2"], "short.csv": ["C", "é"]}
+    assert read[2] < read[1] + 32 * 2**20, read
+    before = _bytes_read()
+    spark.read.text(str(root)).agg(F.max("value")).collect()
+    assert _bytes_read() - before > 192 * 2**20  # a text scan is seen
+
+
+def test_headers_where_only_spark_can_open_the_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "a b.csv").write_text("A,B\n" + "1,2\n" * 100_000)
+    (tmp_path / "c.csv").write_text("C\n1\n")
+    (tmp_path / "empty.csv").write_text("")
+    heads = {tuple(r) for r in csv_layouts._first_lines(spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(csv_layouts, "_heads", lambda batches: (b[["path"]].assign(line=None, opened=False) for b in batches))
+    scanned = {tuple(r) for r in csv_layouts._first_lines(spark, str(tmp_path)).collect()}
+    assert heads == scanned and len(heads) == 2
+    assert csv_layouts._head("nosuch://host/a.csv", "nosuch://host/a.csv") == (None, False)
+
+
 def test_workers_need_no_path_to_the_package(tmp_path):
     """Started from another folder, with the repository on the driver's path only."""
     (tmp_path / "raw").mkdir()
