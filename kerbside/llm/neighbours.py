@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.frames import stage
+from kerbside.llm.frames import record_batch, stage
 from kerbside.session import ship_package
 
 #: Rows and columns of the products that are in memory at once.
@@ -105,6 +105,7 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 
 RESULT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+RANKED = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def search(
@@ -143,19 +144,26 @@ def search(
     found = queries.unionByName(candidates).groupBy("dim", "q", "c").applyInArrow(pair, "query_id long, vec_id long, score double")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list[tuple[float, int]]] = {}
+        """One heap at a time: the rows of a query come one after the other."""
+        at, heap, rows = None, [], []
+
+        def ranked() -> list[tuple[int, int, int, float]]:
+            return [(at, n + 1, -i, -d) for n, (d, i) in enumerate(sorted(heap, reverse=True))]
+
         for batch in batches:
             for query, i, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                heap = heaps.setdefault(query, [])
+                if query != at:
+                    rows += ranked()
+                    at, heap = query, []
                 if len(heap) < k:
                     heapq.heappush(heap, (-d, -i))
                 elif (-d, -i) > heap[0]:
                     heapq.heapreplace(heap, (-d, -i))
-        rows = [(q, n + 1, -i, -d) for q, heap in heaps.items() for n, (d, i) in enumerate(sorted(heap, reverse=True))]
-        if rows:
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["query_id", "rank", "vec_id", "score"]
-            )
-
-    return found.repartition("query_id").mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
+            if rows:
+                yield record_batch(rows, RANKED)
+                rows = []
+        if heap:
+            yield record_batch(ranked(), RANKED)
+
+    found = found.repartition("query_id").sortWithinPartitions("query_id")
+    return found.mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
