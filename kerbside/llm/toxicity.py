@@ -91,7 +91,9 @@ def train(
 
     At most ``most_rows`` labelled documents are used, the first by a hash of
     their id; ids and labels of these come to the driver's side of a join, never more;
-    of equal texts one counts. A document with several labels is toxic if one of them says so; null
+    of equal texts one counts. Where many documents share an id, the first
+    ``most_rows`` texts by a hash are used, so the numbers that come to the
+    driver, one row a text, are as many at most. A document with several labels is toxic if one of them says so; null
     labels are no labels. A word's log-odds between toxic and clean documents
     (each document counts a word once) have a Dirichlet prior, half a word and
     ``prior`` words spread as the words of both; it has a score of its own if they are
@@ -109,7 +111,7 @@ def train(
         .limit(most_rows)
     )
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # most_rows pairs of numbers at most
-    rows = stage(rows.dropDuplicates(["text", "label"]), "toxic-sample")
+    rows = _first(stage(rows.dropDuplicates(["text", "label"]), "toxic-sample"), most_rows)
 
     def counter():
         def count(texts, marks):
@@ -162,6 +164,13 @@ def train(
     return Model(scores, rest, lam, k, slope, offset)
 
 
+def _first(rows: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` of different rows by a hash of their text and label; only hashes are sorted."""
+    order = F.xxhash64("text", "label")
+    last = rows.select(order.alias("hash")).orderBy("hash").limit(most).agg(F.max("hash").alias("last")).first()["last"]
+    return rows if last is None else rows.where(order <= F.lit(last))
+
+
 def _best(text: str, label: int, scores: dict[str, float], rest: float) -> tuple[int, int, float]:
     hits, tokens = _hits(text, scores)
     return label, len(tokens), max((s for _, _, s in segments(hits, len(tokens), rest)), default=0.0)

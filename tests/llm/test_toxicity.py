@@ -67,6 +67,19 @@ def test_held_out(spark, documents):
     assert sorted(map(repr, (r["doc_id"] for r in kept.collect()))) == sorted(repr(r["doc_id"]) for r in out if r["score"] < 0.3)
 
 
+def test_many_texts_under_one_id(spark, documents):
+    """The sample is bounded in texts, not in ids alone, and the same on each run."""
+    rows = documents([(i % 2, f"text {i % 700} w{i % 5}") for i in range(2_000)])
+    rows = rows.withColumn("label", F.col("doc_id").cast("int"))
+    assert t._first(rows.limit(0), 50).count() == 0
+    different = rows.dropDuplicates(["text", "label"])
+    assert t._first(different, 10_000).count() == different.count() > 500
+    some = [sorted(r["text"] for r in t._first(different.repartition(n), 50).collect()) for n in (1, 7)]
+    assert some[0] == some[1] and len(some[0]) == 50
+    labels = spark.createDataFrame([(0, 0, 1), (1, 1, 1)], "doc_id long, toxic int, score int")
+    assert t.score(rows.limit(3), t.train(rows, labels, most_rows=20)).count() == 3
+
+
 def test_nothing_to_learn(spark, documents):
     found, labels = corpus(spark, documents)
     for some in (labels.limit(0), labels.where("toxic = 0")):
