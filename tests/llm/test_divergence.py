@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -6,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kerbside.llm import divergence as d
+from kerbside.llm.frames import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,3 +67,57 @@ def test_common_words_are_exact(documents):
     few, many = d.learn(found, counters=300), d.learn(found, counters=100_000)
     assert few.words == many.words
     assert all(np.allclose(few.shares[k], many.shares[k]) for k in many.shares)
+
+
+def histograms(text):
+    """Numbers of bytes by class and of words, by their definition."""
+    classes = Counter(int(d.CLASS_OF[b]) for b in text.encode())
+    return [classes[k] for k in range(d.SKIP)], Counter(WORD.findall(text))
+
+
+def far(p, q):
+    """Jensen-Shannon distance of two lists of shares."""
+    total = 0.0
+    for a, b in zip(p, q, strict=True):
+        m = (a + b) / 2
+        total += sum(x * math.log2(x / m) / 2 for x in (a, b) if x > 0)
+    return math.sqrt(max(0.0, total))
+
+
+def of(classes, words, reference):
+    """Distances of a text from a language's shares."""
+    reference_classes, common = reference
+    n = max(sum(words.values()), 1)
+    own = [words[w] / n for w in common]
+    shares = list(common.values())
+    rest = lambda values: [*values, max(0.0, 1 - sum(values))]
+    return far([c / max(sum(classes), 1) for c in classes], reference_classes), far(rest(own), rest(shares))
+
+
+def test_verdicts_against_a_plain_version(spark):
+    documents = table(spark, "/root/testdata/sf0.001", "documents")
+    rows, limits = documents.select("doc_id", "text", "lang").collect(), d.Limits()
+    sums = {}
+    for r in rows:
+        classes, words = histograms(r["text"] or "")
+        before = sums.get(r["lang"] or "", ([0] * d.SKIP, Counter()))
+        sums[r["lang"] or ""] = ([a + b for a, b in zip(before[0], classes, strict=True)], before[1] + words)
+    references = {}
+    for lang, (classes, words) in sums.items():
+        n = sum(words.values())
+        references[lang] = ([c / max(sum(classes), 1) for c in classes], {w: k / n for w, k in words.items() if k >= limits.common * n})
+    learned = d.learn(documents)
+    assert {lang: {w.encode() for w in common} for lang, (_, common) in references.items()} == {k: set(v) for k, v in learned.words.items()}
+    want = []
+    for r in rows:
+        text, lang = r["text"] or "", r["lang"] or ""
+        n, *_, repeated = plain(text)
+        failed = n < limits.least_words or 100 * repeated > limits.most_repeated * n
+        classes, words = histograms(text)
+        near = [references[lang]] if lang else [references[k] for k in sorted(references)]
+        c, w = min((of(classes, words, x) for x in near), key=sum)
+        strays = (len(text) >= limits.class_guard and c > limits.class_distance) or (n >= limits.word_guard and w > limits.word_distance)
+        want.append((r["doc_id"], failed, not failed and not strays))
+    got = [(r["doc_id"], r["base_failed"], r["kept"]) for r in d.judge(documents, learned).collect()]
+    assert sorted(got) == sorted(want)
+    assert 0 < sum(kept for _, _, kept in want) < len(want)

@@ -1,3 +1,6 @@
+import math
+
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -86,9 +89,47 @@ def test_broken_markup(html):
     assert isinstance(h.main_text(html), str)
 
 
-def test_threshold_and_smoothing():
-    import numpy as np
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 400), min_size=1, max_size=30), st.sampled_from([0.5, 1.0, 2.0]))
+def test_smoothing_against_its_definition(values, sigma):
+    got, reach = h.smooth(np.array(values, float), sigma), max(1, round(3 * sigma))
+    for i, found in enumerate(got):
+        near = range(max(0, i - reach), min(len(values), i + reach + 1))
+        weights = [math.exp(-0.5 * ((j - i) / sigma) ** 2) for j in near]
+        assert abs(found - sum(w * values[j] for w, j in zip(weights, near, strict=True)) / sum(weights)) < 1e-9
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 400), min_size=2, max_size=30))
+def test_threshold_against_all_cuts(values):
+    """The border lies between the means of the two clusters it makes, halfway: one of the cuts that are stable."""
+    border = h.threshold(np.array(values, float))
+    stable = []
+    for cut in sorted(set(values))[1:]:
+        low, high = [v for v in values if v < cut], [v for v in values if v >= cut]
+        middle = (sum(low) / len(low) + sum(high) / len(high)) / 2
+        if max(low) < middle <= min(high):
+            stable.append(middle)
+    assert border == min(values) if not stable else any(abs(border - m) < 1e-6 for m in stable)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.sampled_from(["long", "short", "list", "heading"]), min_size=1, max_size=12),
+    st.lists(st.sampled_from(sorted(NOISE)), max_size=6),
+    st.lists(st.sampled_from(sorted(NOISE)), max_size=6),
+    st.sampled_from(["article", "main"]),
+)
+def test_made_pages(blocks, before, after, holder):
+    """Pages of blocks in any order, whose article is known from how they are made."""
+    made = {"long": (f"<p>{LONG}</p>", [LONG]), "short": ("<p>Short&#33;</p>", ["Short!"]), "list": ("<ul><li>one<li>two</ul>", ["one", "two"])}
+    made["heading"] = ("<h2>Of\n it</h2>", ["Of it"])
+    blocks = ["long", *blocks]
+    page = "".join(NOISE[n] for n in before) + f"<{holder}>" + "".join(made[b][0] for b in blocks) + f"</{holder}>" + "".join(NOISE[n] for n in after)
+    assert h.main_text(f"<html><body>{page}</body></html>") == "\n".join(line for b in blocks for line in made[b][1])
 
+
+def test_threshold_and_smoothing():
     assert 1 < h.threshold(np.array([0.0, 1, 0, 9, 10])) < 9
     assert np.allclose(h.smooth(np.ones(7)), 1)
 
