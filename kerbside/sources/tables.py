@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from kerbside.schemas import conform
 
@@ -82,13 +82,18 @@ class Versions:
     that is taken. A writer that has read the table through this object asks for the number
     after the commit it has read: if another commit has come between, or comes
     at the same moment, the write fails and changes nothing.
+
+    Every ``WHOLE_EVERY``-th commit names all parts, so a reader needs no older ones however
+    many there are, and an object that has read the log once reads the commits since then.
     """
 
     LOG = "seq long, part string, version string"
+    WHOLE_EVERY = 32
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self._seen: int | None = None
+        self._known = Snapshot(0, {})
 
     def _log(self) -> DataFrame:
         try:
@@ -98,11 +103,33 @@ class Versions:
                 raise
             return self.spark.createDataFrame([], self.LOG)
 
+    def _commit_path(self, seq: int) -> str:
+        return f"{self.root}/commits/{seq:020d}"
+
+    def _last(self) -> int:
+        """Number of the last commit. They follow each other without a gap, so a few questions whether one exists find it."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(context._jsc.hadoopConfiguration())
+        low, step = self._known.seq, 1
+        while files.exists(path(self._commit_path(low + step))):
+            low, step = low + step, 2 * step
+        high = low + step
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if files.exists(path(self._commit_path(middle))) else (low, middle)
+        return low
+
     def snapshot(self) -> Snapshot:
         """One row for each part comes to the driver, as folders do in any file index."""
-        last = self._log().groupBy("part").agg(F.max("seq").alias("seq"), F.max_by("version", "seq").alias("version"))
-        rows = last.collect()
-        return Snapshot(max((r["seq"] for r in rows), default=0), {r["part"]: r["version"] for r in rows})
+        last, known = self._last(), self._known
+        if last > known.seq:
+            whole = last - last % self.WHOLE_EVERY
+            first, parts = (whole, {}) if whole > known.seq else (known.seq + 1, dict(known.parts))
+            rows = self.spark.read.schema(self.LOG).parquet(*map(self._commit_path, range(first, last + 1))).collect()
+            parts |= {r["part"]: r["version"] for r in sorted(rows, key=lambda r: r["seq"])}
+            self._known = Snapshot(last, parts)
+        return self._known
 
     def _read_snapshot(self) -> Snapshot:
         told = self.snapshot()
@@ -117,11 +144,18 @@ class Versions:
     def _commit(self, base: int, version: str, parts: list[str]) -> None:
         """Name ``version`` as that of ``parts`` in the commit after ``base``."""
         self._seen = None
-        rows = self.spark.createDataFrame([(base + 1, p, version) for p in parts], self.LOG)
+        changed = ConcurrentUpdateError(f"{self.root} has changed since it was read")
+        if self._known.seq != base:
+            raise changed
+        new = dict.fromkeys(parts, version)
+        state = self._known.parts | new
+        told = new if (base + 1) % self.WHOLE_EVERY else state
+        rows = self.spark.createDataFrame([(base + 1, p, v) for p, v in told.items()], self.LOG)
         aside = f"{self.root}/uncommitted/{uuid.uuid4().hex}"
         rows.coalesce(1).write.parquet(aside)
-        if not publish(self.spark, aside, f"{self.root}/commits/{base + 1:020d}"):
-            raise ConcurrentUpdateError(f"{self.root} has changed since it was read")
+        if not publish(self.spark, aside, self._commit_path(base + 1)):
+            raise changed
+        self._known = Snapshot(base + 1, state)
 
     def _empty(self, version: str) -> None:
         """Give back the space of a version that no part uses any more."""
@@ -188,7 +222,7 @@ class PeriodTable(Versions):
 
     def read_periods(self, start: dt.date | str, end: dt.date | str) -> DataFrame:
         """All rows of the periods that ``start <= day < end`` touches; other folders are not even listed."""
-        bounds = self.spark.range(1).select(
+        bounds = self.spark.sql("VALUES (0)").select(  # folded by the optimizer, no job
             self._period(F.lit(str(start)).cast("timestamp")).cast("string"), F.lit(str(end))
         )
         low, high = bounds.first()
@@ -201,8 +235,8 @@ class PeriodTable(Versions):
         period = F.coalesce(self._period(F.col("date")), F.raise_error(F.lit("a row without a date")).cast("date"))
         rows = conform(df, self.schema).withColumn("period", period)
         rows.hint("rebalance", F.col("period")).write.mode("error").partitionBy("period").parquet(path)
-        written = self.spark.read.schema(StructType([*self.schema, StructField("period", StringType())])).parquet(path)
-        parts = [r["period"] for r in written.select("period").distinct().collect()]
+        files = self.spark.read.schema(self.schema).parquet(path).inputFiles()
+        parts = sorted({name.rsplit("/", 2)[1].removeprefix("period=") for name in files})
         if parts:
             self._commit(base, version, parts)
 

@@ -271,6 +271,40 @@ def test_encoding_is_one_at_any_size(spark):
     assert 500 < model.predict(fitted, new).first().predicted_footfall < 1000
 
 
+def test_a_long_log_is_read_from_its_last_whole_commit(spark, tmp_path, monkeypatch):
+    """Whoever comes anew reads few commits, and those who know some read the later ones, with the same parts."""
+    monkeypatch.setattr(tables.Versions, "WHOLE_EVERY", 4)
+    root, asked, told = str(tmp_path / "t"), [], {}
+    plain = tables.Versions._commit_path
+    writers = [tables.PeriodTable(spark, root, WEATHER_HISTORY) for _ in range(2)]
+    for n in range(1, 12):
+        month = dt.datetime(2023, 1 + n * n % 5, 2)
+        writers[n % 3 == 0].write_periods(weather(spark, [month], float(n)))
+        told[str(month.date().replace(day=1))] = float(n)
+        if n in (1, 3, 4, 7, 8, 11):
+            late = tables.PeriodTable(spark, root, WEATHER_HISTORY)
+            monkeypatch.setattr(tables.Versions, "_last", lambda self, n=n: n)
+            monkeypatch.setattr(tables.Versions, "_commit_path", lambda self, seq: asked.append(seq) or plain(self, seq))
+            assert late.snapshot() == writers[0].snapshot() == writers[1].snapshot()
+            monkeypatch.undo()
+            monkeypatch.setattr(tables.Versions, "WHOLE_EVERY", 4)
+            assert min(asked) >= n - n % 4 and late.snapshot().seq == n
+            asked.clear()
+            assert {(str(r.date.date().replace(day=1)), r.temp) for r in late.read().collect()} == set(told.items())
+    assert len(told) > 2
+
+
+def test_the_last_commit_is_found(spark, tmp_path):
+    """By a few questions, from any commit before it."""
+    for last in (0, 1, 2, 3, 7, 8, 9, 40):
+        table = tables.Versions(spark, str(tmp_path / str(last)), WEATHER_HISTORY)
+        for seq in range(1, last + 1):
+            (tmp_path / str(last) / "commits" / f"{seq:020d}").mkdir(parents=True)
+        for known in range(last + 1):
+            table._known = tables.Snapshot(known, {})
+            assert table._last() == last
+
+
 @pytest.mark.parametrize("kind", ["VersionedTable", "PeriodTable"])
 @pytest.mark.parametrize("first", ["one", "two"])
 def test_of_two_commits_at_one_moment_one_succeeds(spark, tmp_path, monkeypatch, kind, first):
