@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -326,34 +326,58 @@ def _compare(similar: float) -> Callable[[tuple, list[tuple]], Iterable[tuple]]:
     return run
 
 
+def in_blocks(members: DataFrame, plan: Plan) -> DataFrame:
+    """``members`` (set_id, root, n and others) with parted, their block, ``own``, and those they may be linked into, ``low`` to ``high``.
+
+    A family that exceeds ``plan.rows`` or ``plan.tokens`` is parted: cut by size, n tokens, and by a hash where
+    sizes are equal, into blocks that hold about as much at most. Sets of a similarity s have sizes within a factor s of
+    each other, so a set meets the blocks of such sizes alone. Which these are follows from counts by family and size.
+    """
+    large = (F.count(F.lit(1)) > plan.rows) | (F.sum("n") > plan.tokens)
+    members = members.join(members.groupBy("root").agg(large.alias("parted")), "root")
+    sizes = members.where("parted").groupBy(F.col("root").alias("__root"), F.col("n").alias("__n")).agg(F.count(F.lit(1)).alias("equal"))
+    whole = plan.rows * plan.tokens  # a block; a set is the larger of its shares of both limits
+    sizes = sizes.withColumn("share", F.greatest(F.lit(plan.tokens).cast("long"), F.col("__n") * F.lit(plan.rows).cast("long")))
+    fine = 10**9  # ranges go over whole numbers
+    far = math.ceil(-math.log(plan.similar) * fine) + 1000
+    family = Window.partitionBy("__root").orderBy("__n")
+    near = Window.partitionBy("__root").orderBy(F.floor(F.log("__n") * fine)).rangeBetween(-far, far)
+    sizes = sizes.withColumn("after", F.sum(F.col("equal") * F.col("share")).over(family))
+    sizes = sizes.withColumn("before", F.col("after") - F.col("equal") * F.col("share"))
+    sizes = sizes.withColumns({"first": F.min("before").over(near), "last": F.max("after").over(near) - 1})
+    placed = members.join(sizes, (F.col("root") == F.col("__root")) & (F.col("n") == F.col("__n")), "left")
+    place = F.col("before") + F.pmod(F.xxhash64("set_id"), F.col("equal")) * F.col("share")
+    block = lambda at: F.coalesce(F.floor(at / F.lit(whole)).cast("int"), F.lit(0))
+    return placed.select(*members.columns, block(place).alias("own"), block(F.col("first")).alias("low"), block(F.col("last")).alias("high"))
+
+
 def families(documents: DataFrame, sets: DataFrame, roots: DataFrame, plan: Plan) -> tuple[DataFrame, dict]:
     """set_id, root, parted, texts, docs: the exact links within each family of candidates; staged.
 
-    A family goes to one group, or, if it exceeds ``plan.rows`` or
-    ``plan.tokens``, to one for each pair of its blocks: n sets are n rows for each of n / ``plan.rows`` blocks.
+    A family goes to one group, or, if it is large, to one for each pair of its blocks that may have links
+    (``in_blocks``): a set is a row for each block it meets.
     """
     members = roots.select(F.col("node").alias("set_id"), "root").join(sets.select("set_id", "hash", "n", "doc_id", "text_hash", "docs"), "set_id")
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / plan.rows, F.sum("n") / plan.tokens)).cast("int")
-    members = members.join(members.groupBy("root").agg(blocks.alias("blocks")), "root")
-    wanted = members.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), "set_id", "hash", "root", "docs", "blocks")
+    place = ["parted", "own", "low", "high"]
+    wanted = in_blocks(members, plan).select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), "set_id", "hash", "root", "docs", *place)
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     # by both, as an id may have many texts
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__hash")))
 
     def start():
-        def row(text, set_id, own, root, docs, blocks):
+        def row(text, set_id, digest, root, docs, *place):
             tokens = shingles(text, plan.shingle)
-            same = _signed(_mix(tokens).sum(dtype=_U)) == own  # texts of one hash may differ
-            return [(set_id, root, docs, blocks, tokens.tobytes())] if same else []
+            same = _signed(_mix(tokens).sum(dtype=_U)) == digest  # texts of one hash may differ
+            return [(set_id, root, docs, *place, tokens.tobytes())] if same else []
 
         return row
 
-    schema = "set_id long, root long, docs long, blocks int, tokens binary"
-    tokens = map_rows(texts, ["text", "set_id", "hash", "root", "docs", "blocks"], start, schema, chunk=200)
-    own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    dealt = tokens.select(
-        "root", "set_id", own.alias("block"), "docs", "tokens", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("root", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "set_id", "block", "docs", "tokens", (F.col("blocks") > 1).alias("parted"))
+    schema = "set_id long, root long, docs long, parted boolean, own int, low int, high int, tokens binary"
+    tokens = map_rows(texts, ["text", "set_id", "hash", "root", "docs", *place], start, schema, chunk=200)
+    dealt = tokens.withColumn("other", F.explode(F.sequence("low", "high"))).select(
+        "root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
+        "set_id", F.col("own").alias("block"), "docs", "tokens", "parted",
+    )
     compared = map_groups(_once(dealt), ["root", "one", "two"], _compare(plan.similar), "set_id long, root long, parted boolean, texts long, docs long")
     found = stage(compared, "families")
     return found, found.agg(F.coalesce(F.sum(F.col("parted").cast("long")), F.lit(0)).alias("parted")).first().asDict()

@@ -60,6 +60,38 @@ def test_against_all_pairs(documents, plan):
     assert kept.columns == found.columns
 
 
+def test_blocks_hold_whatever_may_be_linked(spark):
+    """Two sets of sizes within the similarity meet in a block pair; others mostly don't, and no block is large."""
+    rng = random.Random(5)
+    sizes = [round(1.01 ** rng.randrange(900)) + 4 for _ in range(900)] + [300] * 300 + [9000]
+    rows = [(i, 1 if i % 2 else 2, n, "x") for i, n in enumerate(sizes)] + [(5000 + i, 3, 9, "x") for i in range(10)]
+    plan = s.Plan(rows=20, tokens=20_000)
+    found = s.in_blocks(spark.createDataFrame(rows, "set_id long, root long, n int, more string"), plan).collect()
+    assert len(found) == len(rows) and all(r["low"] <= r["own"] <= r["high"] and r["more"] == "x" for r in found)
+    assert all((r["parted"], r["own"], r["high"]) == (False, 0, 0) for r in found if r["root"] == 3)
+    for root in (1, 2):
+        own = [r for r in found if r["root"] == root]
+        for a in own:
+            for b in own:
+                if a["n"] >= 0.8 * b["n"] and b["n"] >= 0.8 * a["n"]:
+                    assert a["low"] <= b["own"] <= a["high"]
+        blocks = 1 + max(r["own"] for r in own)
+        assert sum(r["high"] - r["low"] + 1 for r in own) < 0.4 * blocks * len(own)
+        for block in range(blocks):
+            held = [r["n"] for r in own if r["own"] == block]
+            assert len(held) <= 3 * plan.rows and sum(held) <= 3 * plan.tokens
+
+
+def test_a_chain_of_growing_texts(documents):
+    """One family from short to long: it is cut into blocks by size and no link is lost."""
+    words = [f"w{i}" for i in range(1200)]
+    own = [" ".join(words[: round(20 * 1.03**i)]) for i in range(135)]
+    label, links = plain(own)
+    out = {r["doc_id"]: r for r in s.join(documents(list(enumerate(own))), s.Plan(rows=10)).collect()}
+    assert [out[i]["class_id"] for i in range(len(own))] == label and len(set(label)) == 1
+    assert [out[i]["n_links"] for i in range(len(own))] == links
+
+
 def test_odd_rows(documents):
     long = "w " * 5 + " ".join(f"x{i}" for i in range(60_000))
     found = documents([(1, "a b c d e f"), (1, "a b c d e f"), (1, "other text of the same id"), (None, "a b c d e f"), (None, None), (5, long), (6, long + " end")])
