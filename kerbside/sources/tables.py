@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from kerbside.schemas import conform
+from kerbside.session import setting
 
 # Quotes are doubled inside quoted text, and blanks at the ends of a text are kept.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
@@ -25,6 +26,9 @@ CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreT
 # type, is an error. Cells are only counted if the parser sees all of them.
 CSV_STRICT = {**CSV_OPTIONS, "mode": "FAILFAST", "columnPruning": "false"}
 
+# Sources a task writes side by side. Each holds an open file and its buffer, no rows.
+OPEN_SOURCES = 32
+
 
 def write_table(df: DataFrame, path: str, schema: StructType) -> None:
     """Replace the files at ``path``, with the declared columns and types.
@@ -252,15 +256,21 @@ class PeriodTable(Versions):
 
 
 def write_csv_by_source(df: DataFrame, root: str) -> None:
-    """CSV with a header, one folder per ``source_file``; other sources' files stay."""
-    (
-        df.hint("rebalance", F.col("source_file"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_file")
-        .options(**CSV_WRITE_OPTIONS)
-        .csv(root)
-    )
+    """CSV with a header, one folder per ``source_file``; other sources' files stay.
+
+    Spark would first sort the rows of a task by source. The rows that one input task has of
+    a source stay together however many they are, so rows go straight to the file of
+    their source; a task with more than ``OPEN_SOURCES`` sorts only what it has after these.
+    """
+    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_SOURCES)):
+        (
+            df.hint("rebalance", F.col("source_file"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("source_file")
+            .options(**CSV_WRITE_OPTIONS)
+            .csv(root)
+        )
 
 
 def land_counts(df: DataFrame, raw_root: str, processed_root: str, raw: bool) -> str:

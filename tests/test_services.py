@@ -1,7 +1,11 @@
 """JSON documents, landing, history refresh, sinks and the model."""
 
+import contextlib
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +13,7 @@ from pyspark.sql import functions as F
 from kerbside.operators import history
 from kerbside.plans import loads, model, scoring
 from kerbside.schemas import FOOTFALL, FORECASTS, HOLIDAYS, WEATHER_HISTORY
-from kerbside.session import staging_path
+from kerbside.session import setting, staging_path
 from kerbside.sources import json_docs, tables
 
 HOUR = dt.datetime(2023, 7, 15)
@@ -184,6 +188,49 @@ def test_sources_land_in_turn(spark, tmp_path):
     assert rows_of(kept) == rows_of(rows)
 
 
+def test_sources_of_one_task_beyond_the_open_files(spark, tmp_path):
+    """More sources than a task keeps open come through whole, with rows of no source, and no setting stays."""
+    n = 3 * tables.OPEN_SOURCES
+    source = F.when(F.col("id") % n != 7, F.concat(F.lit("s "), (F.col("id") % n).cast("string"), F.lit(".csv")))
+    rows = spark.range(0, 20 * n, 1, 1).select("id", F.lit("a, \"b\"").alias("text"), source.alias("source_file"))
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    for before in (None, "3"):
+        with setting(spark, key, before) if before else contextlib.nullcontext():
+            tables.write_csv_by_source(rows.coalesce(1), str(tmp_path / "raw"))
+            assert spark.conf.get(key, None) == before
+        assert rows_of(tables.read_csv(spark, str(tmp_path / "raw"), rows.schema)) == rows_of(rows)
+    assert spark.conf.get(key, None) is None
+
+
+def test_memory_of_landing_one_source_does_not_grow_with_its_rows(tmp_path):
+    """The rows of a source that one input task has go to one task; that must not hold them."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession, functions as F
+from kerbside.session import configure
+from kerbside.sources import tables
+conf = {{"spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.dir": {(tmp_path / 'log').as_uri()!r},
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}}
+spark = configure(SparkSession.builder.master("local[2]").config(map=conf).getOrCreate())
+for n in (1_000, 2_000_000):
+    at = {str(tmp_path)!r} + f"/{{n}}"
+    spark.range(0, n, 1, 1).withColumn("source_file", F.when(F.col("id") >= 0, "y.csv")).write.parquet(at + "-staged")
+    tables.write_csv_by_source(spark.read.parquet(at + "-staged"), at + "-landed")
+    print("ROWS", spark.read.option("header", "true").csv(at + "-landed").count())
+spark.stop()
+"""
+    (tmp_path / "log").mkdir()
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_ENV_LOADED")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split() == ["ROWS", "1000", "ROWS", "2000000"], done.stderr[-2000:]
+    (log,) = (tmp_path / "log").iterdir()
+    ends = [e for e in map(json.loads, log.read_text().splitlines()) if e["Event"] == "SparkListenerTaskEnd"]
+    written = [e["Task Metrics"]["Output Metrics"]["Records Written"] for e in ends]
+    assert sum(written) == 2 * 2_001_000, written  # staged and landed
+    assert max(e["Task Metrics"]["Peak Execution Memory"] for e in ends) < 32 * 2**20
+
+
 def test_csv_cells_that_do_not_fit_fail(spark, tmp_path):
     (tmp_path / "x.csv").write_text("date,name\nsoon,x\n")
     with pytest.raises(Exception):
